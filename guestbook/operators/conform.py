@@ -16,11 +16,11 @@ def struct_of(schema: Schema) -> StructType:
     return _parse_datatype_string(", ".join(f"{name} {kind}" for name, kind in schema.items()))
 
 
-def cast_to(value: Column, kind: str) -> Column:
+def _tolerant_cast(value: str, kind: str) -> str:
     """Cast that turns bad values into null; decimals in text are cut to whole numbers."""
     if kind in ("int", "bigint"):
-        return F.coalesce(value.try_cast(kind), value.try_cast("double").try_cast(kind))
-    return value.try_cast(kind)
+        return f"coalesce(try_cast({value} as {kind}), try_cast(try_cast({value} as double) as {kind}))"
+    return f"try_cast({value} as {kind})"
 
 
 def conform(df: DataFrame, mapping: Mapping[str, str | Column], schema: Schema) -> DataFrame:
@@ -32,15 +32,19 @@ def conform(df: DataFrame, mapping: Mapping[str, str | Column], schema: Schema)
     unknown = set(mapping) - set(schema)
     if unknown:
         raise ValueError(f"not in the target schema: {sorted(unknown)}")
+    given = {n: s for n, s in mapping.items() if isinstance(s, Column)}
+    if given:
+        df = df.select("*", *[value.alias(f"_given_{name}") for name, value in given.items()])
     columns = []
     for name, kind in schema.items():
-        source = mapping.get(name)
-        if source is None:
-            value = F.lit(None).cast(kind)
+        if name in given:
+            value = _tolerant_cast(f"_given_{name}", kind)
+        elif name in mapping:
+            value = _tolerant_cast(".".join(f"`{part}`" for part in mapping[name].split(".")), kind)
         else:
-            value = cast_to(F.col(source) if isinstance(source, str) else source, kind)
-        columns.append(value.alias(name))
-    return df.select(*columns)
+            value = f"cast(null as {kind})"
+        columns.append(f"{value} as {name}")
+    return df.selectExpr(*columns)
 
 
 def same_names(names: str | Iterable[str]) -> dict[str, str]:

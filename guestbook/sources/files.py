@@ -37,6 +37,22 @@ def _list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(folder))
 
 
+SPREAD_BYTES = 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table over all cores when it comes in fewer splits than there are cores.
+
+    A big table has splits enough and passes unchanged, and one below a megabyte is not worth
+    the shuffle.
+    """
+    plan = df._jdf.queryExecution()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) < SPREAD_BYTES:
+        return df
+    return df if plan.toRdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _hidden(name: str) -> bool:
     return name.startswith(("_", "."))
 

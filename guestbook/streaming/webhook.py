@@ -26,15 +26,22 @@ def parse(messages: DataFrame, body: str = "body", at: str = "received_at") -> D
     ).where(F.col("event_name").isNotNull() & F.col("message_id").isNotNull())
 
 
-def land_messages(messages: DataFrame, out: str, checkpoint: str, lateness: str = LATENESS) -> None:
+def land_messages(
+    messages: DataFrame, out: str, checkpoint: str, lateness: str = LATENESS, writers: int = 4
+) -> None:
     """Stream parsed messages to ``event_name`` / ``event_date`` folders.
 
+    Rows are gathered by folder before they are written, so a batch leaves at most ``writers``
+    files in each; a hot event is split over that many tasks.
+
     A repeat within ``lateness`` is dropped, which bounds the state. A later repeat, and one
     whose body differs, is settled by ``latest_messages`` when the landing is read.
     """
     fresh = messages.withWatermark("received_at", lateness).dropDuplicatesWithinWatermark(
         ["event_name", "message_id", "event_date", "body"]
     )
+    writer = F.pmod(F.xxhash64("message_id"), F.lit(writers))
+    fresh = fresh.repartition("event_name", "event_date", writer)
     query = (
         fresh.writeStream.format("parquet")
         .partitionBy("event_name", "event_date")

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from guestbook.functions import squeeze, street_line, trim_blank
 from guestbook.functions.text import WHITESPACE
 from guestbook.operators.conform import conform, union_all
-from guestbook.schemas import ADDRESS_FIELDS, ENGAGEMENT, ORDER_LINE, PERSON, VISIT
+from guestbook.schemas import ADDRESS_FIELDS, ENGAGEMENT, ORDER_LINE, ORDER_PLACE, PERSON, VISIT
+from guestbook.session import stage
 from workload.registry import Tables
 
 # People of system A, with every email shape and missing values.
@@ -158,19 +159,20 @@ def home_addresses(t: Tables) -> DataFrame:
     return conform(people(t), {n: n for n in names}, ADDRESS_FIELDS)
 
 
-def _order_place(df: DataFrame, kind: str) -> DataFrame:
-    names = ["address_1", "address_2", "city", "state_region", "country"]
-    return conform(df, {n: f"{kind}_{n}" for n in names}, ADDRESS_FIELDS)
+def lines(t: Tables) -> DataFrame:
+    """Store order lines, conformed. Several tables are made of them, so they are staged."""
 
+    def make() -> DataFrame:
+        df = t.sql(LINES)
+        return stage(conform(df, {c: c for c in df.columns}, ORDER_LINE), "lines")
 
-def lines(t: Tables) -> DataFrame:
-    df = t.sql(LINES)
-    return conform(df, {c: c for c in df.columns}, ORDER_LINE)
+    return t.once("conformed_lines", make)
 
 
 def order_addresses(t: Tables) -> list[DataFrame]:
-    df = t.sql(LINES)
-    return [_order_place(df, "shipping"), _order_place(df, "billing")]
+    return [
+        conform(lines(t), {c: f"{kind}_{c}" for c in ORDER_PLACE}, ADDRESS_FIELDS) for kind in ("shipping", "billing")
+    ]
 
 
 # The address book of people and orders, as the oracle writes it.
@@ -195,10 +197,15 @@ def engagement(t: Tables) -> DataFrame:
 
 
 def visits(t: Tables) -> DataFrame:
-    df = t.sql(VISITS)
-    return conform(df, {c: c for c in df.columns}, VISIT)
+    """Visits with the place of the event, conformed and staged."""
+
+    def make() -> DataFrame:
+        df = t.sql(VISITS)
+        return stage(conform(df, {c: c for c in df.columns}, VISIT), "visits")
+
+    return t.once("conformed_visits", make)
 
 
 def venue_addresses(t: Tables) -> DataFrame:
     names = ["address_1", "city", "state_region", "country", "postal_code"]
-    return conform(t.sql(VISITS), {n: n for n in names}, ADDRESS_FIELDS)
+    return conform(visits(t), {n: n for n in names}, ADDRESS_FIELDS)

@@ -7,19 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from guestbook.session import tune
+from guestbook.sources.files import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The driver tables of one scale, opened when first used."""
+    """The driver tables of one scale, each opened when first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.once(name, lambda: spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet")))
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A frame that several parts of one query share."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
 
     def sql(self, text: str) -> DataFrame:
         """SQL whose table names stand in braces."""

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from guestbook.operators import audit, clean, quality
-from guestbook.sinks.files import land, write_parquet
+from guestbook.sinks.files import day_folder, land, write_parquet
 from guestbook.sources import files
 from guestbook.sources.mapping import MappedTable
 
@@ -32,23 +32,22 @@ def verdicts(df: DataFrame, columns: Sequence[str], dotted: bool = False) -> Dat
     return quality.split_quality(tidy, quality.email_column(columns), quality.phone_columns(columns))
 
 
-def write_zones(rows: DataFrame, path: str, day: dt.date) -> dict[str, Observation]:
-    """Trusted and quarantined rows in one pass over the input, under one table folder.
+def write_zones(rows: DataFrame, path: str, day: dt.date) -> Observation:
+    """Trusted and quarantined rows of a day, written in one pass over the input.
 
-    The zone is the first partition column, so each zone is a folder tree of its own and a
-    reader of one never opens the other's files.
+    Each zone is a folder of its own, so a reader of one never opens the other's files. The
+    whole day is replaced, a zone that has no rows this time included. The observation counts
+    the rows written.
     """
     counted, observation = audit.counted(rows, "rows")
-    zoned = counted.withColumn(ZONE, F.when(F.col(quality.REASON).isNull(), "trusted").otherwise("quarantine"))
-    dated = zoned.withColumn("snapshot_date", F.lit(str(day)).cast("date"))
-    write_parquet(dated, path, partition_by=[ZONE, "snapshot_date"])
-    return {"rows": observation}
+    zone = F.when(F.col(quality.REASON).isNull(), "trusted").otherwise("quarantine")
+    write_parquet(counted.withColumn(ZONE, zone), day_folder(path, day), partition_by=[ZONE], whole=True)
+    return observation
 
 
 def read_zone(spark: SparkSession, path: str, day: dt.date, zone: str = "trusted") -> DataFrame:
-    rows = spark.read.parquet(path).where((F.col(ZONE) == zone) & (F.col("snapshot_date") == F.lit(str(day)).cast("date")))
-    dropped = [ZONE, "snapshot_date"] + ([quality.REASON] if zone == "trusted" else [])
-    return rows.drop(*dropped)
+    rows = spark.read.parquet(f"{day_folder(path, day)}/{ZONE}={zone}")
+    return rows.drop(quality.REASON) if zone == "trusted" else rows
 
 
 def raw_to_trusted(
@@ -68,7 +67,7 @@ def raw_to_trusted(
         raw = files.read_snapshot(spark, path, files.detect_format(spark, path))
         rows = verdicts(raw, table.columns, table.system in DOTTED_SYSTEMS)
         observed = write_zones(rows, f"{out_root}/{table.folder(databases)}", day)
-        written[table.name] = observed["rows"].get["rows"]
+        written[table.name] = observed.get["rows"]
     return written
 
 
@@ -83,7 +82,7 @@ def load_trusted(
     frames = {}
     for table in tables:
         path = f"{root}/{table.folder(databases)}"
-        if files.exists(spark, f"{path}/{ZONE}=trusted/snapshot_date={day}"):
+        if files.exists(spark, f"{day_folder(path, day)}/{ZONE}=trusted"):
             frames[table.name] = read_zone(spark, path, day)
     return frames
 

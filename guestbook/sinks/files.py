@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,16 +16,23 @@ SUCCESS_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 FEED_FILE_RECORDS = 10_000
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), marker: bool = True) -> None:
-    """Replace a folder; with ``partition_by`` only the partitions the frame holds.
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), marker: bool = True, whole: bool | None = None
+) -> None:
+    """Replace a folder; with ``partition_by`` only the partitions the frame holds, unless ``whole``.
 
     ``marker=False`` leaves no success marker behind.
     """
-    writer = df.write.mode("overwrite").option("compression", "snappy").option(SUCCESS_MARKER, str(marker).lower())
+    if whole is None:
+        whole = not partition_by
+    writer = (
+        df.write.mode("overwrite")
+        .option("compression", "snappy")
+        .option(SUCCESS_MARKER, str(marker).lower())
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
+    )
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.option("partitionOverwriteMode", "static")
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
@@ -60,6 +68,11 @@ def write_stripped_json(
     )
 
 
-def land(df: DataFrame, path: str, day, column: str = "snapshot_date") -> None:
-    """Raw landing: replace one day's partition of a table."""
-    write_parquet(df.withColumn(column, F.lit(str(day)).cast("date")), path, partition_by=[column])
+def day_folder(path: str, day: dt.date | str) -> str:
+    """Folder of one day, readable as a partition of ``path``."""
+    return f"{path}/snapshot_date={day}"
+
+
+def land(df: DataFrame, path: str, day: dt.date | str) -> None:
+    """Raw landing: replace one day of a table."""
+    write_parquet(df, day_folder(path, day))

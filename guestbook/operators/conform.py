@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 Schema = Mapping[str, str]  # column name -> Spark type name, in output order

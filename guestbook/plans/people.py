@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from guestbook.functions.keys import natural_key
 from guestbook.operators.dedupe import keep_one
-from guestbook.operators.joins import join_on
 from guestbook.schemas import CONSUMERS
 
 IDENTITY = ("name_first", "name_last", "email")

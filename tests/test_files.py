@@ -25,7 +25,7 @@ shop,null,shop_people,email
 shop,null,shop_people,phone
 shop,null,shop_people,contact.first_name
 shop,null,shop_people,email
-crm,pga,accounts,null
+crm,sales,accounts,null
 """
 
 
@@ -41,7 +41,7 @@ def test_mapping(mapping):
     shop, crm = mapped_tables(mapping)
     assert shop == MappedTable("shop", "null", "shop_people", ("email", "phone", "contact.first_name"))
     assert shop.name == "shop_shop_people" and shop.folder() == "shop/shop_people"
-    assert crm.folder({"crm": "prod/db"}) == "crm/prod_db_pga_accounts"
+    assert crm.folder({"crm": "prod/db"}) == "crm/prod_db_sales_accounts"
     assert [t.system for t in mapped_tables(mapping, "crm")] == ["crm"]
 
 
@@ -64,9 +64,9 @@ def test_snapshot_folders(spark, tmp_path):
 
 
 def test_csv_snapshot(spark, tmp_path):
-    (tmp_path / "emails.csv").write_text("emails\nkev@gmail.com\njohns_2a\n")
+    (tmp_path / "emails.csv").write_text("emails\nken@gmail.com\njohns_2a\n")
     assert files.detect_format(spark, str(tmp_path)) == "csv"
-    assert rows(files.read_snapshot(spark, str(tmp_path), "csv")) == [("johns_2a",), ("kev@gmail.com",)]
+    assert rows(files.read_snapshot(spark, str(tmp_path), "csv")) == [("johns_2a",), ("ken@gmail.com",)]
 
 
 def test_parquet_replaces_one_day(spark, tmp_path):
@@ -130,8 +130,8 @@ def test_stage_keeps_rows_and_types(spark):
 
 
 RAW = [
-    (1, " a@b.com ", "571-333-1112", ("  Kev  in ",), "2024"),
-    (1, " a@b.com ", "571-333-1112", ("  Kev  in ",), "2024"),
+    (1, " a@b.com ", "571-333-1112", ("  Ken  in ",), "2024"),
+    (1, " a@b.com ", "571-333-1112", ("  Ken  in ",), "2024"),
     (2, "bad", "571-333-1112", ("x",), None),
     (3, "c@d.org", "12", ("y",), None),
     (None, None, None, None, None),
@@ -149,7 +149,7 @@ def test_raw_to_trusted(spark, tmp_path, mapping):
     assert list(loaded) == ["shop_shop_people"]
     good = loaded["shop_shop_people"]
     assert good.columns == ["id", "email", "phone", "note", "first_name"]
-    assert rows(good) == [(1, "a@b.com", "571-333-1112", "2024", "Kev in")]
+    assert rows(good) == [(1, "a@b.com", "571-333-1112", "2024", "Ken in")]
     bad = landing.read_zone(spark, f"{out}/{shop.folder()}", DAY, "quarantine")
     assert sorted((r["id"], r["reject_reason"]) for r in bad.collect()) == [(2, "email"), (3, "phone")]
     before = rows(good)

@@ -205,7 +205,8 @@ def nested_addresses_explode(t: Tables) -> DataFrame:
 
 
 @query(
-    """select event_id, epoch_us(ts) as micros, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as back from {events}"""
+    """select event_id, epoch_us(ts) as micros, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as back from {events}""",
+    name="epoch_micros",
 )
 def epoch_micros_round_trip(t: Tables) -> DataFrame:
     counted = t.events.select("event_id", epoch_micros("ts").alias("micros"))
@@ -214,7 +215,8 @@ def epoch_micros_round_trip(t: Tables) -> DataFrame:
 
 @query(
     """select event_id, strftime(ts, '%Y/%m/%d') as today, strftime(ts - interval 1 day, '%Y/%m/%d') as yesterday
-    from {events}"""
+    from {events}""",
+    name="date_path",
 )
 def dated_folder(t: Tables) -> DataFrame:
     return t.events.select(

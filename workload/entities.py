@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from guestbook.functions import natural_key, squeeze, trim_blank
+from guestbook.functions import squeeze, trim_blank
 from guestbook.operators.conform import conform, union_all, union_distinct
 from guestbook.operators.dedupe import distinct_keyed, keep_one
 from guestbook.plans import addresses as places
 from guestbook.plans import events as occasions
-from guestbook.plans import feed, marketing, older, orders as sales, origins
+from guestbook.plans import datamart, feed, marketing, older, orders as sales, origins
 from guestbook.plans import people as persons
-from guestbook.schemas import ADDRESS_FIELDS, ITEM_FIELDS
+from guestbook.schemas import ADDRESS_FIELDS, PERSON
+from guestbook.session import stage
 from workload.recipes import (
     ACTIONS,
     BOOK_COLUMNS,
@@ -20,8 +21,6 @@ from workload.recipes import (
     LINES,
     LISTS,
     PEOPLE_SQL,
-    SQUEEZED,
-    UNBLANKED,
     VENDOR,
     VISITS,
     crm,
@@ -46,7 +45,8 @@ def conform_union(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""select distinct name_first, name_last, email from (with {PEOPLE_SQL} select * from people)"""
+    f"""select distinct name_first, name_last, email from (with {PEOPLE_SQL} select * from people)""",
+    name="union_distinct_feed",
 )
 def union_distinct_people(t: Tables) -> DataFrame:
     names = ["name_first", "name_last", "email"]
@@ -96,7 +96,7 @@ def identity_resolve(t: Tables) -> DataFrame:
 )
 def fact_resolve(t: Tables) -> DataFrame:
     """Facts of a system that did not feed the people: only known people remain."""
-    known = persons.consumers(persons.identify(people(t)))
+    known = persons.identify(people(t))
     return persons.resolve(lines(t), known).select("source_order_id", "source_product_id", "unit_price", "consumer_id")
 
 
@@ -316,7 +316,8 @@ def campaigns(t: Tables) -> DataFrame:
 @query(
     f"""with {LOG_SQL}, ranked as (select *, row_number() over (partition by list_id
       order by list_name nulls last) as rn from all_lists)
-    select list_name, list_description, list_type, {LIST_KEY} as id from ranked where rn = 1"""
+    select list_name, list_description, list_type, {LIST_KEY} as id from ranked where rn = 1""",
+    name="lists",
 )
 def marketing_lists(t: Tables) -> DataFrame:
     return marketing.marketing_lists(engagement(t))
@@ -350,7 +351,7 @@ def consumer_actions(t: Tables) -> DataFrame:
 )
 def action_list_bridge(t: Tables) -> DataFrame:
     """The bridge, spelled out through its keys."""
-    keyed = marketing.keyed_actions(engagement(t))
+    keyed = stage(marketing.keyed_actions(engagement(t)), "actions")
     bridge = marketing.action_lists(engagement(t), keyed).select("action_id", "list_id")
     return bridge.join(keyed.withColumnRenamed("id", "action_id"), "action_id").select(
         "consumer_id", "campaign_id", "marketing_action_type", "created_at", "list_id"
@@ -401,7 +402,7 @@ def person_feed(t: Tables) -> DataFrame:
 )
 def older_person_tables(t: Tables) -> DataFrame:
     """Row and key counts of the older tables; those without any content come out empty."""
-    made = older.older_tables(_feed(t))
+    made = older.older_tables(stage(_feed(t), "feed"))
     sizes = [df.select(F.lit(name).alias("table_name"), "id") for name, df in made.items()]
     return union_all(sizes).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids")
@@ -439,3 +440,75 @@ def event_staging(t: Tables) -> DataFrame:
 )
 def survivor_per_key(t: Tables) -> DataFrame:
     return keep_one(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderstatus", "o_orderkey"])
+
+
+# --- the whole datamart ------------------------------------------------------------------------
+
+PERSON_ROWS = "select name_first, name_last, email from"
+
+
+def _rows_sql(table: str, body: str) -> str:
+    return f"select '{table}' as table_name, count(*) as rows, count(*) as ids from ({body})"
+
+
+DATAMART_SQL = " union all ".join(
+    [
+        _rows_sql(
+            "consumers",
+            f"""with {PEOPLE_SQL} select distinct name_first, name_last, email from (
+              {PERSON_ROWS} people union all {PERSON_ROWS} ({LINES}) union all {PERSON_ROWS} ({VISITS})
+              union all select 'Customer', null, email from ({ACTIONS})) where email is not null""",
+        ),
+        _rows_sql("addresses", f"with {PEOPLE_SQL}, {_book_sql(HOME_ROWS, ORDER_ROWS, VENUE_ROWS)} select id from book"),
+        _rows_sql(
+            "consumer_addresses",
+            f"""with {IDENTIFIED_SQL}, {_book_sql(HOME_ROWS, ORDER_ROWS, VENUE_ROWS)}, {HOMES_SQL}
+              select distinct h.id as consumer_id, b.id as address_id from homes h join book b on
+              {' and '.join(f'h.{c} is not distinct from b.{c}' for c in BOOK_COLUMNS)}""",
+        ),
+        _rows_sql("events", f"with {KEYED_VISITS_SQL} select * from e"),
+        _rows_sql(
+            "consumer_events",
+            f"""with {KEYED_VISITS_SQL} select distinct id, name_first, name_last, email, attending from keyed
+              where email is not null""",
+        ),
+        _rows_sql("source_system", f"select * from {SOURCES_SQL} union all select 0, null, s from (values ('crm'), ('vendor')) v(s)"),
+        _rows_sql("orders", f"select distinct {', '.join(sales.ORDER_KEY)} from ({LINES}) where email is not null"),
+        _rows_sql(
+            "order_items",
+            f"""select distinct {', '.join(sales.ORDER_KEY)}, {', '.join(ITEM_COLUMNS)},
+                case when event_name is not null then venue_name end, event_name, year(event_datetime)
+              from ({LINES}) where email is not null and source_product_id is not null""",
+        ),
+        _rows_sql("marketing_campaigns", f"with {LOG_SQL} select distinct source_campaign_id from all_campaigns"),
+        _rows_sql("marketing_lists", f"with {LOG_SQL} select distinct list_id from all_lists"),
+        _rows_sql("campaign_marketing_lists", f"with {LOG_SQL} select distinct source_campaign_id, list_id from acted"),
+        _rows_sql("consumer_marketing_actions", f"with {LOG_SQL}, {ACTED_SQL} select * from keyed"),
+        _rows_sql(
+            "marketing_action_list",
+            f"""with {LOG_SQL}, {ACTED_SQL}, listed as (select distinct email, created_at, list_id from acted
+                where marketing_action_type in ('email_subscribe', 'email_unsubscribe'))
+              select k.*, l.list_id from listed l join keyed k on l.email = k.email and l.created_at = k.created_at""",
+        ),
+    ]
+)
+
+
+@query(DATAMART_SQL, name="datamart")
+def whole_datamart(t: Tables) -> DataFrame:
+    """Rows and distinct ids of all thirteen tables, built together from one set of subjects."""
+    who = {"name_first": "name_first", "name_last": "name_last", "email": "email"}
+    log = engagement(t)
+    subjects = datamart.Conformed(
+        people=union_all([people(t), *[conform(df, who, PERSON) for df in (lines(t), visits(t), log)]]),
+        addresses=union_all([home_addresses(t), *order_addresses(t), venue_addresses(t)]),
+        visits=visits(t),
+        lines=lines(t),
+        origins=union_all([origins.source_rows(lines(t), "source_instance"), origins.source_rows(people(t))]),
+        engagement=log,
+    )
+    made = datamart.build(subjects)
+    ids = [df.select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id")) for name, df in made.items()]
+    return union_all(ids).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids")
+    )

@@ -48,11 +48,11 @@ def plain(text: str) -> str:
     return text
 
 
-def query(sql: str | None = None):
-    """Register a function of the driver tables under its name."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of the driver tables under its name, or under the one given."""
 
-    def register(fn: Callable[[Tables], DataFrame]):
-        name = fn.__name__
+    def register(fn: Callable[[Tables], DataFrame], name: str | None = name):
+        name = name or fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(Tables(tune(spark), sf_dir))

@@ -6,15 +6,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from guestbook.operators.dedupe import keep_one
 from guestbook.operators.joins import full_outer, join_on, left_chain, lookup, spread_join
-from guestbook.operators.snapshots import carry_forward, latest_snapshot, missing_action, missing_snapshots, placeholder_row
-from guestbook.functions import squeeze, street_line, trim_blank
+from guestbook.operators.snapshots import carry_forward, latest_snapshot, missing_action, missing_snapshots, of_day, placeholder_row
+from guestbook.functions import trim_blank
 from guestbook.operators.conform import conform
 from guestbook.session import fresh_dir
 from guestbook.sinks.files import stripped_json, write_json, write_parquet, write_stripped_json
 from guestbook.sinks.warehouse import FolderTarget, full_refresh
-from guestbook.streaming.incremental import BATCH, new_files, run_once
+from guestbook.streaming.incremental import new_files, run_once
 from guestbook.streaming.webhook import land_messages, latest_messages, parse
 from workload.recipes import ACTIONS, CAMPAIGNS, CRM, LISTS, UNBLANKED, VENDOR, crm, vendor
 from workload.registry import Tables, query
@@ -24,7 +23,8 @@ from workload.registry import Tables, query
     """select c_custkey, o_orderkey, l_linenumber, p_name, s_name, n_name from {customer}
     left join {orders} on c_custkey = o_custkey left join {lineitem} on o_orderkey = l_orderkey
     left join {part} on l_partkey = p_partkey left join {supplier} on l_suppkey = s_suppkey
-    left join {nation} on s_nationkey = n_nationkey"""
+    left join {nation} on s_nationkey = n_nationkey""",
+    name="left_chain",
 )
 def left_chain_join(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_custkey")
@@ -87,9 +87,6 @@ def full_outer_engagement(t: Tables) -> DataFrame:
     return joined.select("user_id", "event_id", "marketing_action_type", "source_campaign_id", "campaign_name")
 
 
-SUBSCRIPTIONS = f"({ACTIONS}) a"
-
-
 @query(
     f"""select l.list_id, l.list_name, a.event_id, a.email, u.id as user_id from ({LISTS}) l
     left join (select * from ({ACTIONS}) where marketing_action_type in ('email_subscribe', 'email_unsubscribe')) a
@@ -218,7 +215,8 @@ def tolerant_casts(t: Tables) -> DataFrame:
 
 @query(
     """select event_id, user_id, event_type from (
-      select *, rank() over (partition by user_id order by cast(ts as date) desc) as r from {events}) where r = 1"""
+      select *, rank() over (partition by user_id order by cast(ts as date) desc) as r from {events}) where r = 1""",
+    name="latest_snapshot",
 )
 def latest_snapshot_rows(t: Tables) -> DataFrame:
     """All rows of each user's last day."""
@@ -249,7 +247,8 @@ def snapshot_completeness(t: Tables) -> DataFrame:
       case when f.user_id is not null then 'report' else 'placeholder' end as action
     from {EXPECTED_SQL} e left join (select distinct user_id, cast(ts as date) + 1 as day from {{events}}
         where event_type = 'error') f on e.user_id = f.user_id and e.day = f.day
-    where not exists (select 1 from {{events}} x where x.user_id = e.user_id and cast(x.ts as date) = e.day)"""
+    where not exists (select 1 from {{events}} x where x.user_id = e.user_id and cast(x.ts as date) = e.day)""",
+    name="missing_action",
 )
 def missing_action_choice(t: Tables) -> DataFrame:
     """Missing after an error is reported, missing otherwise gets a placeholder."""
@@ -263,7 +262,8 @@ def missing_action_choice(t: Tables) -> DataFrame:
 @query(
     """select user_id, cast(null as varchar) as event_type, cast(null as double) as value, strftime(day, '%Y-%m-%d') as day
     from (select distinct user_id, cast(ts as date) + 1 as day from {events}) e
-    where not exists (select 1 from {events} x where x.user_id = e.user_id and cast(x.ts as date) = e.day)"""
+    where not exists (select 1 from {events} x where x.user_id = e.user_id and cast(x.ts as date) = e.day)""",
+    name="placeholder_row",
 )
 def placeholder_rows(t: Tables) -> DataFrame:
     """An all-null row, under the table's own schema, for every snapshot that is missing."""
@@ -281,7 +281,8 @@ CARRY_DAY = dt.date(2024, 1, 3)
 @query(
     """select event_id, user_id, '2024-01-03' as snapshot_date from {events}
     where cast(ts as date) = date '2024-01-02' and user_id not in (
-      select user_id from {events} where cast(ts as date) = date '2024-01-03')"""
+      select user_id from {events} where cast(ts as date) = date '2024-01-03')""",
+    name="carry_forward",
 )
 def carry_forward_rows(t: Tables) -> DataFrame:
     """Yesterday's rows of whoever is silent today."""
@@ -331,7 +332,9 @@ def json_round_trip(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).json(path)
 
 
-@query(f"select id, last_name, nullif(substring(street, 9, 100), '') as suffix from ({CRM})")
+@query(f"select id, last_name, nullif(substring(street, 9, 100), '') as suffix from ({CRM})",
+    name="full_refresh",
+)
 def warehouse_refresh(t: Tables) -> DataFrame:
     """Empty text reaches the warehouse as null, twice over."""
     root = fresh_dir(t.spark, "warehouse")
@@ -342,18 +345,15 @@ def warehouse_refresh(t: Tables) -> DataFrame:
 
 
 @query(
-    """select day, count(*) as rows, sum(value) is null as no_value from (
-      select strftime(ts, '%Y-%m-%d') as day, cast(null as double) as value from {events}) group by day"""
+    """select event_id, user_id, strftime(ts, '%Y-%m-%d') as day from {events} where cast(ts as date) = date '2024-01-02'"""
 )
 def raw_landing(t: Tables) -> DataFrame:
-    """Events landed in dated folders by day; the read lists folders, not files' contents."""
+    """Events landed by day; the read of one day opens that day's folder alone."""
     path = fresh_dir(t.spark, "raw")
-    daily = t.events.select("event_id", F.to_date("ts").alias("snapshot_date"))
-    write_parquet(daily, path, partition_by=["snapshot_date"])
-    landed = t.spark.read.parquet(path)
-    return landed.groupBy(F.date_format("snapshot_date", "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("rows"), F.lit(True).alias("no_value")
-    )
+    daily = t.events.select("event_id", "user_id", F.to_date("ts").alias("snapshot_date"))
+    write_parquet(daily.repartition("snapshot_date"), path, partition_by=["snapshot_date"])
+    landed = of_day(t.spark.read.parquet(path), "2024-01-02")
+    return landed.select("event_id", "user_id", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
 
 
 # --- streams ---------------------------------------------------------------------------------

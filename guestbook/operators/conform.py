@@ -47,6 +47,18 @@ def conform(df: DataFrame, mapping: Mapping[str, str | Column], schema: Schema)
     return df.selectExpr(*columns)
 
 
+def conform_each(df: DataFrame, mappings: Iterable[Mapping[str, str]], schema: Schema) -> DataFrame:
+    """One row per mapping for every input row, in a single pass: say both addresses of an order."""
+    rows = []
+    for mapping in mappings:
+        fields = [
+            f"{_tolerant_cast(mapping[name], kind) if name in mapping else f'cast(null as {kind})'} as {name}"
+            for name, kind in schema.items()
+        ]
+        rows.append(f"struct({', '.join(fields)})")
+    return df.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def same_names(names: str | Iterable[str]) -> dict[str, str]:
     """Mapping for columns that already bear their target name."""
     return {n: n for n in (names.split() if isinstance(names, str) else names)}

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
-from guestbook.operators.conform import conform, same_names, union_all
+from guestbook.operators.conform import conform, conform_each, same_names, union_all
 from guestbook.plans import addresses as places
 from guestbook.plans import events as occasions
 from guestbook.plans import feed, marketing, older, orders as sales, origins, people as persons
@@ -63,17 +63,22 @@ class Conformed:
     engagement: DataFrame  # ENGAGEMENT
 
     def staged(self) -> Conformed:
-        """Every subject feeds two or more tables, so write each once and read it back."""
-        return Conformed(**{name: stage(df, name) for name, df in vars(self).items()})
+        """Write each subject that feeds two or more tables once, and read it back.
+
+        Addresses feed the address book alone, which is staged itself.
+        """
+        shared = {name: stage(df, name) for name, df in vars(self).items() if name != "addresses"}
+        return replace(self, **shared)
 
 
 def _address(df: DataFrame, columns: str) -> DataFrame:
     return conform(df, same_names(columns), ADDRESS_FIELDS)
 
 
-def _address_of(df: DataFrame, kind: str) -> DataFrame:
-    columns = {c: f"{kind}_{c}" for c in PLACE if f"{kind}_{c}" in df.columns}
-    return conform(df, columns, ADDRESS_FIELDS)
+def _addresses_of(df: DataFrame, *kinds: str) -> DataFrame:
+    """An address row of each kind for every row, in one pass."""
+    given = [{c: f"{kind}_{c}" for c in PLACE if f"{kind}_{c}" in df.columns} for kind in kinds]
+    return conform_each(df, given, ADDRESS_FIELDS)
 
 
 def conform_all(t: Mapping[str, DataFrame]) -> Conformed:
@@ -99,10 +104,9 @@ def conform_all(t: Mapping[str, DataFrame]) -> Conformed:
 
     addresses = union_all(
         [_address(df, ADDRESS_COLUMNS[name]) for name, df in who.items() if name in ADDRESS_COLUMNS]
-        + [_address_of(axs["billing"], "billing")]
-        + [_address_of(shop["lines"], kind) for kind in ("billing", "shipping")]
+        + [_addresses_of(axs["billing"], "billing"), _addresses_of(shop["lines"], "billing", "shipping")]
         + [_address(splash, "address_1 city state_region country postal_code")]
-        + [_address_of(view, "venue") for view in (axs["lines"], championships)]
+        + [_addresses_of(view, "venue") for view in (axs["lines"], championships)]
     )
 
     person = "name_first name_last email"
@@ -182,10 +186,11 @@ def conform_all(t: Mapping[str, DataFrame]) -> Conformed:
 
 
 def build(subjects: Conformed, staged: bool = True) -> dict[str, DataFrame]:
-    """The thirteen tables. ``staged`` writes each frame that several tables read once."""
+    """The thirteen tables, best of staged subjects.
+
+    ``staged`` writes the tables that other tables read once.
+    """
     keep = stage if staged else (lambda df, label: df)
-    if staged:
-        subjects = subjects.staged()
     book = keep(places.address_book([subjects.addresses]), "address_book")
     identified = persons.identify(subjects.people)
     visits = occasions.event_visits(subjects.visits)

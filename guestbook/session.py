@@ -19,6 +19,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Size-checked broadcast only; no job of this package uses a broadcast hint.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # Rows take several times the room of the parquet they came from; check that size.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
@@ -66,6 +68,9 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 
@@ -74,4 +79,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, f"stage-{label}")
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete what this process staged, once the tables made of it are written."""
+    cleared = 0
+    while _STAGED:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        cleared += bool(system.delete(folder, True))
+    return cleared

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,8 @@ from guestbook.sources.mapping import MappedTable
 # Fixed value: formats a snapshot may come in; anything else is read as parquet.
 FORMATS = ("parquet", "json", "csv")
 
+CASE_SENSITIVE = "spark.sql.caseSensitive"
+
 
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema: Schema | None = None) -> DataFrame:
     """Everything under one folder, sub-folders included."""
@@ -20,8 +23,20 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     if fmt == "csv":
         reader = reader.option("header", True)
     if schema:
-        reader = reader.schema(struct_of(schema))
-    return reader.load(path)
+        return reader.schema(struct_of(schema)).load(path)
+    with _exact_names(spark):
+        return reader.load(path)
+
+
+@contextmanager
+def _exact_names(spark: SparkSession) -> Iterator[None]:
+    """While a schema is inferred, names that differ in case are two columns, not an error."""
+    before = spark.conf.get(CASE_SENSITIVE)
+    spark.conf.set(CASE_SENSITIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CASE_SENSITIVE, before)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -65,10 +80,10 @@ def latest_folder(spark: SparkSession, path: str) -> str:
     return f"{path}/{max(folders, key=lambda name: name.split('T')[-1])}"
 
 
-def detect_format(spark: SparkSession, path: str) -> str:
-    """Suffix of the last file listed."""
+def detect_format(spark: SparkSession, path: str, first: bool = False) -> str:
+    """Suffix of the last file listed; the older jobs went by the ``first``."""
     files = [name for name, is_folder in _list(spark, path) if not is_folder and not _hidden(name)]
-    suffix = files[-1].rsplit(".", 1)[-1] if files else ""
+    suffix = files[0 if first else -1].rsplit(".", 1)[-1] if files else ""
     return suffix if suffix in FORMATS else "parquet"
 
 

@@ -23,7 +23,7 @@ def trusted(spark):
 
 @pytest.fixture(scope="module")
 def mart(spark, trusted):
-    return datamart.build(datamart.conform_all(trusted))
+    return datamart.build(datamart.conform_all(trusted).staged())
 
 
 def records(df):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guestbook.plans import landing
-from guestbook.session import shared_dir, stage
+from guestbook.session import clear_staged, shared_dir, stage
 from guestbook.sinks.files import land, stripped_json, write_json, write_parquet, write_stripped_json
 from guestbook.sinks.warehouse import FolderTarget, full_refresh, write_all
 from guestbook.sources import files
@@ -122,11 +122,39 @@ def test_write_all_and_refresh(spark, tmp_path):
     write_json(full, str(tmp_path / "json" / "full"))
 
 
+def test_json_names_that_differ_in_case(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "Id": "x", "p.q": " two  words "}\n{"id": 2, "Id": "y"}\n')
+    raw = files.read_snapshot(spark, str(tmp_path), "json")
+    assert spark.conf.get(files.CASE_SENSITIVE) == "false"
+    tidy = landing.clean_table(raw, ["id", "p_q"], dotted=True)
+    assert tidy.columns == ["Id", "p_q"]
+    assert rows(tidy) == [("x", "two words"), ("y", None)]
+
+
+def test_format_of_first_and_last_file(spark, tmp_path):
+    for name in ("a.csv", "b.json", "_skip.parquet"):
+        (tmp_path / name).write_text("x")
+    assert files.detect_format(spark, str(tmp_path)) == "json"
+    assert files.detect_format(spark, str(tmp_path), first=True) == "csv"
+
+
+def test_new_files_are_cleaned_on_the_way(spark, tmp_path):
+    """Incremental intake straight into the cleaning step."""
+    src, out, checkpoint = (str(tmp_path / n) for n in ("src", "out", "progress"))
+    df = spark.createDataFrame([(1, " a@b.com"), (2, "bad")], "id int, email string")
+    df.write.parquet(src)
+    run_once(new_files(spark, src, df.schema), out, checkpoint, lambda b: landing.verdicts(b, ["id", "email"]))
+    assert rows(spark.read.parquet(out).select("id", "email", "reject_reason")) == [(1, "a@b.com", None), (2, "bad", "email")]
+
+
 def test_stage_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, dt.date(2024, 1, 1), None)], "a int, d date, s string")
     staged = stage(df, "x")
     assert staged.dtypes == df.dtypes and rows(staged) == rows(df)
-    assert shared_dir(spark) in staged.inputFiles()[0]
+    path = staged.inputFiles()[0]
+    assert shared_dir(spark) in path
+    assert clear_staged(spark) >= 1 and clear_staged(spark) == 0
+    assert not files.exists(spark, path)
 
 
 RAW = [

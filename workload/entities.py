@@ -132,7 +132,7 @@ def _book_sql(*rows: str) -> str:
 
 @query(f"with {PEOPLE_SQL}, {_book_sql(HOME_ROWS, ORDER_ROWS)} select id, {', '.join(BOOK_COLUMNS)} from book")
 def address_book(t: Tables) -> DataFrame:
-    return places.address_book([home_addresses(t), *order_addresses(t)]).select("id", *BOOK_COLUMNS)
+    return places.address_book([home_addresses(t), order_addresses(t)]).select("id", *BOOK_COLUMNS)
 
 
 HOMES_SQL = f"""homes as (
@@ -148,7 +148,7 @@ HOMES_SQL = f"""homes as (
     select *, {key_sql('consumer_id', 'address_id')} as id from pairs"""
 )
 def person_address(t: Tables) -> DataFrame:
-    book = places.address_book([home_addresses(t), *order_addresses(t)])
+    book = places.address_book([home_addresses(t), order_addresses(t)])
     return places.consumer_addresses(persons.residences(persons.identify(people(t))), book)
 
 
@@ -255,7 +255,7 @@ ORDERS_SQL = f"""l as ({LINES}), {_book_sql(ORDER_ROWS)},
     from o {_lookup_sql('shipping')} {_lookup_sql('billing')}"""
 )
 def orders_fact(t: Tables) -> DataFrame:
-    book = places.address_book(order_addresses(t))
+    book = places.address_book([order_addresses(t)])
     made = sales.orders(lines(t), _sources(t), book)
     return made.select(
         "id", "consumer_id", "source_system_id", "source_order_id", "address_shipping_id", "address_billing_id",
@@ -285,7 +285,7 @@ ITEM_COLUMNS = ["source_product_id", "product_name", "quantity", "unit_price", "
 )
 def order_items_fact(t: Tables) -> DataFrame:
     placed = lines(t).where(F.col("source_order_id").isNotNull() & F.col("email").isNotNull())
-    made = sales.order_items(lines(t), placed.select(sales.order_id().alias("id")))
+    made = sales.order_items(lines(t), placed.select(sales.order_id().alias("id")).distinct())
     return made.select("order_id", *ITEM_COLUMNS, "event_id")
 
 
@@ -501,13 +501,13 @@ def whole_datamart(t: Tables) -> DataFrame:
     log = engagement(t)
     subjects = datamart.Conformed(
         people=union_all([people(t), *[conform(df, who, PERSON) for df in (lines(t), visits(t), log)]]),
-        addresses=union_all([home_addresses(t), *order_addresses(t), venue_addresses(t)]),
+        addresses=union_all([home_addresses(t), order_addresses(t), venue_addresses(t)]),
         visits=visits(t),
         lines=lines(t),
-        origins=union_all([origins.source_rows(lines(t), "source_instance"), origins.source_rows(people(t))]),
+        origins=union_all([origins.source_rows(lines(t), "source_instance"), origins.source_rows(people(t))]).distinct(),
         engagement=log,
     )
-    made = datamart.build(subjects)
+    made = datamart.build(subjects.staged())
     ids = [df.select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id")) for name, df in made.items()]
     return union_all(ids).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids")

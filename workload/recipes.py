@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from guestbook.functions import squeeze, street_line, trim_blank
 from guestbook.functions.text import WHITESPACE
-from guestbook.operators.conform import conform, union_all
+from guestbook.operators.conform import conform, conform_each, union_all
 from guestbook.schemas import ADDRESS_FIELDS, ENGAGEMENT, ORDER_LINE, ORDER_PLACE, PERSON, VISIT
-from guestbook.session import stage
 from workload.registry import Tables
 
 # People of system A, with every email shape and missing values.
@@ -44,8 +43,20 @@ select s_suppkey as id, 'vendor' as source_system, 'Customer' as first_name,
 from {supplier} join {nation} on s_nationkey = n_nationkey
 """
 
+# Shipping and billing address of an order.
+SHIPPING_AND_BILLING = """n_name as shipping_address_1,
+  case when o_custkey % 4 = 0 then null else concat('Unit ', cast(c_nationkey % 3 as string)) end as shipping_address_2,
+  c_mktsegment as shipping_city, n_name as shipping_state_region, 'XX' as shipping_country,
+  case when o_orderkey % 3 = 0 then null else n_name end as billing_address_1,
+  concat('Unit ', cast(c_nationkey % 3 as string)) as billing_address_2,
+  c_mktsegment as billing_city, n_name as billing_state_region, 'XX' as billing_country"""
+ORDER_PLACES = f"""
+select {SHIPPING_AND_BILLING}
+from {{orders}} left join {{customer}} on o_custkey = c_custkey left join {{nation}} on c_nationkey = n_nationkey
+"""
+
 # Store order lines with buyer, event, shipping and billing address.
-LINES = """
+LINES = f"""
 select 'Customer' as name_first, lpad(cast(o_custkey as string), 9, '0') as name_last,
   case when o_custkey % 10 = 0 then null else concat('u', cast(o_custkey as string), '@example.org') end as email,
   case when o_custkey % 3 = 0 then 'tickets' else 'shop' end as source_system,
@@ -57,16 +68,11 @@ select 'Customer' as name_first, lpad(cast(o_custkey as string), 9, '0') as name
   case when o_orderkey % 11 = 0 then null else concat('Event ', cast(o_custkey % 12 as string)) end as event_name,
   case when o_orderkey % 5 = 0 then null else concat('Venue ', cast(o_orderkey % 4 as string)) end as venue_name,
   cast(o_orderdate as date) as event_datetime,
-  n_name as shipping_address_1,
-  case when o_custkey % 4 = 0 then null else concat('Unit ', cast(c_nationkey % 3 as string)) end as shipping_address_2,
-  c_mktsegment as shipping_city, n_name as shipping_state_region, 'XX' as shipping_country,
-  case when o_orderkey % 3 = 0 then null else n_name end as billing_address_1,
-  concat('Unit ', cast(c_nationkey % 3 as string)) as billing_address_2,
-  c_mktsegment as billing_city, n_name as billing_state_region, 'XX' as billing_country
-from {orders} left join {lineitem} on o_orderkey = l_orderkey
-  left join {part} on l_partkey = p_partkey
-  left join {customer} on o_custkey = c_custkey
-  left join {nation} on c_nationkey = n_nationkey
+  {SHIPPING_AND_BILLING}
+from {{orders}} left join {{lineitem}} on o_orderkey = l_orderkey
+  left join {{part}} on l_partkey = p_partkey
+  left join {{customer}} on o_custkey = c_custkey
+  left join {{nation}} on c_nationkey = n_nationkey
 """
 
 # Engagement log: clicks, opens, subscribes, unsubscribes.
@@ -160,19 +166,15 @@ def home_addresses(t: Tables) -> DataFrame:
 
 
 def lines(t: Tables) -> DataFrame:
-    """Store order lines, conformed. Several tables are made of them, so they are staged."""
-
-    def make() -> DataFrame:
-        df = t.sql(LINES)
-        return stage(conform(df, {c: c for c in df.columns}, ORDER_LINE), "lines")
+    """Store order lines, conformed."""
+    df = t.sql(LINES)
+    return conform(df, {c: c for c in df.columns}, ORDER_LINE)
 
-    return t.once("conformed_lines", make)
 
-
-def order_addresses(t: Tables) -> list[DataFrame]:
-    return [
-        conform(lines(t), {c: f"{kind}_{c}" for c in ORDER_PLACE}, ADDRESS_FIELDS) for kind in ("shipping", "billing")
-    ]
+def order_addresses(t: Tables) -> DataFrame:
+    """Both addresses of every order."""
+    given = [{c: f"{kind}_{c}" for c in ORDER_PLACE} for kind in ("shipping", "billing")]
+    return conform_each(t.sql(ORDER_PLACES), given, ADDRESS_FIELDS)
 
 
 # The address book of people and orders, as the oracle writes it.
@@ -197,13 +199,9 @@ def engagement(t: Tables) -> DataFrame:
 
 
 def visits(t: Tables) -> DataFrame:
-    """Visits with the place of the event, conformed and staged."""
-
-    def make() -> DataFrame:
-        df = t.sql(VISITS)
-        return stage(conform(df, {c: c for c in df.columns}, VISIT), "visits")
-
-    return t.once("conformed_visits", make)
+    """Visits with the place of the event, conformed."""
+    df = t.sql(VISITS)
+    return conform(df, {c: c for c in df.columns}, VISIT)
 
 
 def venue_addresses(t: Tables) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from guestbook.session import tune
 from guestbook.sources.files import spread
@@ -13,6 +14,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def open_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; its schema is read from the files once."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 class Tables:
     """The driver tables of one scale, each opened when first used."""
 
@@ -21,7 +32,7 @@ class Tables:
         self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.once(name, lambda: spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet")))
+        return self.once(name, lambda: spread(open_parquet(self.spark, f"{self.folder}/{name}.parquet")))
 
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A frame that several parts of one query share."""

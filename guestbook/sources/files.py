@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from guestbook.operators.conform import Schema, struct_of
 from guestbook.sources.mapping import MappedTable
@@ -25,7 +26,17 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     if schema:
         return reader.schema(struct_of(schema)).load(path)
     with _exact_names(spark):
-        return reader.load(path)
+        df = reader.load(path)
+    once = first_of_each(df.schema)
+    return df if len(once) == len(df.schema) else reader.schema(once).load(path)
+
+
+def first_of_each(schema: StructType) -> StructType:
+    """The schema without fields that repeat an earlier name in another case."""
+    kept: dict[str, StructField] = {}
+    for field in schema.fields:
+        kept.setdefault(field.name.lower(), field)
+    return StructType(list(kept.values()))
 
 
 @contextmanager

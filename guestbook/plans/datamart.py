@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -67,8 +68,10 @@ class Conformed:
 
         Addresses feed the address book alone, which is staged itself.
         """
-        shared = {name: stage(df, name) for name, df in vars(self).items() if name != "addresses"}
-        return replace(self, **shared)
+        shared = {name: df for name, df in vars(self).items() if name != "addresses"}
+        with ThreadPoolExecutor(len(shared)) as pool:  # independent writes, so they may overlap
+            written = dict(zip(shared, pool.map(stage, shared.values(), shared.keys())))
+        return replace(self, **written)
 
 
 def _address(df: DataFrame, columns: str) -> DataFrame:

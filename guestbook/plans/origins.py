@@ -9,9 +9,13 @@ from guestbook.schemas import SOURCE_SYSTEM
 
 
 def source_rows(view: DataFrame, instance: str | None = None, platform: str = "source_system") -> DataFrame:
-    """(name, url, platform) of a source; only the named columns are read."""
+    """Distinct (name, url, platform) of a source.
+
+    Distinct by source, so that Spark drops the left joins of the view and reads the named
+    columns of its first table alone.
+    """
     mapping = {"platform": platform} | ({"name": instance} if instance else {})
-    return conform(view, mapping, {"name": "string", "url": "string", "platform": "string"})
+    return conform(view, mapping, {"name": "string", "url": "string", "platform": "string"}).distinct()
 
 
 def source_systems(rows: DataFrame) -> DataFrame:

@@ -104,3 +104,11 @@ def test_spread_leaves_big_and_tiny_tables(spark, tmp_path):
     assert "RoundRobin" not in plan_of(spread(spark.read.option("maxPartitionBytes", 1).parquet(many)))
     tiny = spark.range(3)
     assert spread(tiny) is tiny
+
+
+def test_source_of_a_joined_view_reads_one_table(spark, no_broadcast):
+    from guestbook.plans.origins import source_rows
+
+    left, right = spark.range(9).toDF("a"), spark.range(9).toDF("b")
+    view = join_on(left, right, equal=[("a", "b")], how="left").withColumn("source_system", F.lit("x"))
+    assert "Join" not in plan_of(source_rows(view))

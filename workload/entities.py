@@ -500,7 +500,7 @@ def whole_datamart(t: Tables) -> DataFrame:
     who = {"name_first": "name_first", "name_last": "name_last", "email": "email"}
     log = engagement(t)
     subjects = datamart.Conformed(
-        people=union_all([people(t), *[conform(df, who, PERSON) for df in (lines(t), visits(t), log)]]),
+        people=union_all([people(t), *[conform(df, who, PERSON) for df in (visits(t), log)]]),
         addresses=union_all([home_addresses(t), order_addresses(t), venue_addresses(t)]),
         visits=visits(t),
         lines=lines(t),

@@ -26,6 +26,8 @@ def prepared(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * 1024 * 1024))
     # Frames are staged in the shared folder; a smaller codec costs little against the disk it saves.
     spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
+    # A side whose partitions turn out small is hashed, so that the texts of the other side aren't sorted.
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", str(16 * 1024 * 1024))
     return spark
 
 

@@ -26,7 +26,7 @@ SHARE = 1.5
 MOST = 2
 SHARDS = 16
 SEED = 20
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 256
 
 
 def _uniform(*parts: Column | str) -> Column:

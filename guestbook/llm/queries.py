@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import decontamination, linespread, mixing, outliers
+from guestbook.llm import decontamination, jaccard, linespread, mixing, outliers
 from guestbook.llm.common import open_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(docs).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "passes", "extra"
     )
+
+
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar(open_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+SQL["op8_jaccard"] = r"""
+with recursive doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+shingle as (
+  select distinct doc_id, w[i : i + least(5, len(w)) - 1] as s
+  from doc, unnest(range(1, len(w) - least(5, len(w)) + 2)) as t(i) where len(w) > 0),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+link as (
+  select a.doc_id as a, b.doc_id as b
+  from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id
+  join size x on x.doc_id = a.doc_id join size y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach as (
+  select doc_id as a, doc_id as b from doc
+  union select r.a, l.b from reach r join link l on r.b = l.a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from (select a as doc_id, min(b) as component_id from reach group by a) left join size using (doc_id)
+"""

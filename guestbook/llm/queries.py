@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import decontamination, jaccard, linespread, mixing, outliers
+from guestbook.llm import chat, classifier, decontamination, jaccard, linespread, mixing, outliers
 from guestbook.llm.common import open_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,37 @@ reach as (
 select doc_id, coalesce(n, 0) as n_shingles, component_id
 from (select a as doc_id, min(b) as component_id from reach group by a) left join size using (doc_id)
 """
+
+
+@query
+def op1_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = classifier.classify(open_table(spark, sf_dir, "documents"), open_table(spark, sf_dir, "labels"))
+    return found.select(
+        F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(open_table(spark, sf_dir, "conversations"))
+
+
+SQL["op7_chat"] = r"""
+with turn as (
+  select distinct conv_id, coalesce(turn, -9223372036854775808) as turn, role, text from conversations),
+line as (
+  select *, md5(turn || ':' || coalesce('r' || role, '') || ':' || coalesce('t' || text, '')) as h from turn),
+chain as (
+  select conv_id, turn, string_agg(h, '') over (partition by conv_id order by turn, role, text) as so_far,
+         row_number() over (partition by conv_id order by turn, role, text) as i,
+         row_number() over (partition by conv_id order by turn desc, role desc, text desc) as back
+  from line),
+whole as (select conv_id, so_far from chain where back = 1),
+kept as (
+  select min(conv_id) as conv_id from whole
+  where so_far not in (select so_far from chain where back > 1) group by so_far)
+select conv_id, cast(cast(floor(turn / 256) as bigint) as varchar) as part, min(turn) as first_turn, count(*) as n_turns,
+       string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
+                  order by turn, role, text) as text
+from turn join kept using (conv_id) group by conv_id, floor(turn / 256)
+"""

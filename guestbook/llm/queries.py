@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import chat, classifier, decontamination, jaccard, linespread, mixing, outliers
+from guestbook.llm import chat, classifier, decontamination, extraction, jaccard, linespread, mixing, outliers
 from guestbook.llm.common import open_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,9 @@ select conv_id, cast(cast(floor(turn / 256) as bigint) as varchar) as part, min(
                   order by turn, role, text) as text
 from turn join kept using (conv_id) group by conv_id, floor(turn / 256)
 """
+
+
+@query
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract(open_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))

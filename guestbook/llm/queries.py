@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import chat, classifier, decontamination, extraction, jaccard, linespread, mixing, outliers
+from guestbook.llm import (
+    chat,
+    classifier,
+    decontamination,
+    extraction,
+    jaccard,
+    linespread,
+    mixing,
+    outliers,
+    privacy,
+    suffixes,
+)
 from guestbook.llm.common import open_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +192,18 @@ from turn join kept using (conv_id) group by conv_id, floor(turn / 256)
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extraction.extract(open_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.personal_data(open_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in privacy.KINDS]
+    base = F.sha2(privacy.listed("base"), 256).alias("base_sha256")
+    return found.select(F.col("id").alias("doc_id"), *counts, base, privacy.listed("spans").alias("spans"))
+
+
+@query
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.deduplicated(open_table(spark, sf_dir, "documents"))
+    spans = (F.size("cuts") / 2).cast("long").alias("n_spans")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", spans, "kept_sha256")

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from workload.check import compare, oracle
+from workload.registry import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,14 +16,15 @@ def con():
     return oracle(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees(spark, con, name):
     ok, note = compare(spark, con, name, SF_DIR)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -69,6 +69,7 @@ _ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+_AWAY = [_GROUP[tag] for tag in ("nav", "header", "footer", "aside", "form")]
 #: Parts of class names, ids and roles, by what they speak for.
 NAMES = {
     "text": "article content post entry main story body text",
@@ -81,7 +82,8 @@ NAMES = {
 _NAME = {word: i for i, words in enumerate(NAMES.values()) for word in words.split()}
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 _PART = re.compile(r"[a-z]+")
-N_FEATURES = _TEXT + 1 + len(NAMES) + 1 + 9
+#: Tag and names of a node, names of the nodes above it, and what stands under it.
+N_FEATURES = _TEXT + 1 + 2 * len(NAMES) + 10
 
 
 @dataclass
@@ -185,10 +187,15 @@ def features(page: Page) -> np.ndarray:
         stops[p] += stops[i]
     x = np.zeros((n, N_FEATURES))
     x[np.arange(n), page.group] = 1
+    above: list[tuple[int, ...]] = []
     for i, names in enumerate(page.names):
+        p = page.parent[i]
+        above.append(tuple({*above[p], *page.names[p]}) if i and (above[p] or page.names[p]) else ())
         for name in names:
             x[i, _TEXT + 1 + name] = 1
-    at = _TEXT + 1 + len(NAMES)
+        for name in above[i]:
+            x[i, _TEXT + 1 + len(NAMES) + name] = 1
+    at = _TEXT + 1 + 2 * len(NAMES)
     x[:, at] = page.hidden
     w = np.array(words, float)
     share = np.array(linked) / np.maximum(w, 1)
@@ -202,6 +209,10 @@ def features(page: Page) -> np.ndarray:
     x[:, at + 6] = w / max(1, words[0])
     x[:, at + 7] = leaf * (np.array(page.group)[parent] == _GROUP["p"])
     x[:, at + 8] = leaf * (np.array(page.group)[parent] == _GROUP["h1"])
+    away = np.isin(page.group, _AWAY)
+    for i in range(1, n):
+        away[i] |= away[parent[i]]
+    x[:, at + 9] = away
     return x
 
 
@@ -212,8 +223,7 @@ def labels(page: Page, corpus: bool = False) -> np.ndarray:
     for i in range(1, n):
         if corpus:
             group = page.group[i]
-            away = group in (_GROUP["nav"], _GROUP["header"], _GROUP["footer"], _GROUP["aside"], _GROUP["form"])
-            own[i] = 1 if group == _GROUP["article"] else 0 if away else own[page.parent[i]]
+            own[i] = 1 if group == _GROUP["article"] else 0 if group in _AWAY else own[page.parent[i]]
         else:
             mark = page.marks[i]
             own[i] = own[page.parent[i]] if mark is None else float(mark == "1")

@@ -10,9 +10,10 @@ from guestbook.functions.text import digits
 VALID = "valid"
 INVALID = "invalid"
 
-# Fixed values of the email rule.
-EMAIL_SHAPE = r"[\w.-]+@[\w.-]+[^\n]\w+"
-EMAIL_SHAPE_SEVEN = r"[\w.]+@[\w.]"
+# Fixed values of the email rule. A word character is any letter or digit, not only ASCII ones, which is
+# all that \w stands for here. [^\n] is "any character but \n"; the dot would leave out other line ends too.
+EMAIL_SHAPE = r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+[^\n][\p{L}\p{N}_]+"
+EMAIL_SHAPE_SEVEN = r"[\p{L}\p{N}_.]+@[\p{L}\p{N}_.]"
 TOP_LEVEL = ["com", "org", "net", "int", "edu", "gov", "mil", "biz"]
 TOP_LEVEL_SEVEN = ["com", "org", "net", "int", "edu", "gov", "mil"]
 LOCAL_BANNED = ["www", "http"]

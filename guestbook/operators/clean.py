@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
@@ -35,17 +35,20 @@ def drop_duplicate_columns(df: DataFrame) -> DataFrame:
     return by_position.select(*[F.col(positions[i]).alias(df.columns[i]) for i in first.values()])
 
 
-def leaf_paths(schema: StructType, prefix: str = "") -> list[str]:
+def _leaves(kind: DataType) -> Iterator[tuple[str, ...]]:
+    """Names on the way to each value without fields of its own; a list is what it holds."""
+    match kind:
+        case StructType():
+            yield from ((field.name, *rest) for field in kind for rest in _leaves(field.dataType))
+        case ArrayType(elementType=StructType() as held):
+            yield from _leaves(held)
+        case _:
+            yield ()
+
+
+def leaf_paths(schema: StructType) -> list[str]:
     """Lower-case dotted paths of all leaves, looking through arrays of structs."""
-    paths: list[str] = []
-    for field in schema.fields:
-        path = f"{prefix}{field.name}"
-        inner = field.dataType.elementType if isinstance(field.dataType, ArrayType) else field.dataType
-        if isinstance(inner, StructType):
-            paths += leaf_paths(inner, path + ".")
-        else:
-            paths.append(path.lower())
-    return paths
+    return [".".join(names).lower() for names in _leaves(schema)]
 
 
 def ensure_columns(df: DataFrame, paths: Iterable[str]) -> DataFrame:

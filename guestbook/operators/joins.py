@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from guestbook.session import stage
+
 Pair = str | tuple[str, str]
 
 _RIGHT = "_right_"
@@ -49,8 +51,10 @@ def full_outer(left: DataFrame, right: DataFrame, equal: Sequence[Pair]) -> Data
     """Full outer join as a left join plus the right rows nobody claimed.
 
     Spark cannot split a hot key of a full outer join, but it can split either half of this.
-    Both sides keep their key columns, so their names must differ.
+    Both sides keep their key columns, so their names must differ. The left side serves both
+    halves and is staged, so that its own joins run once.
     """
+    left = stage(left, "outer-left")
     pairs = [_pair(p) for p in equal]
     condition = reduce(lambda x, y: x & y, [F.col(a) == F.col(b) for a, b in pairs])
     claimed = left.select(*[a for a, _ in pairs]).dropna().distinct()
@@ -94,8 +98,7 @@ def lookup(
 ) -> DataFrame:
     """Left join that takes one ``value`` per key, the least one, so it never adds rows.
 
-    By default a null in any key means no match. Such rows have nothing to look for, so they
-    get a key of their own each and spread evenly.
+    By default a null in any key means no match. Such rows have nothing to look for and go round the join.
     """
     pairs = [_pair(p) for p in equal]
     left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
@@ -104,33 +107,25 @@ def lookup(
         return join_on(left, one, null_safe=pairs, how="left")
     one = right.dropna(subset=right_keys).groupBy(*right_keys).agg(F.min(value).alias(alias))
     complete = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in left_keys])
-    searched = left.withColumn("_miss", F.when(~complete, F.xxhash64(*left.columns)))
-    searched = searched.withColumns(
-        {f"_key{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(left_keys)}
-    )
-    tagged = one.select(*[F.col(k).cast("string").alias(f"_key{i}") for i, k in enumerate(right_keys)], alias)
-    tagged = tagged.withColumn("_miss", F.lit(None).cast("bigint"))
-    names = [f"_key{i}" for i in range(len(pairs))]
-    return join_on(searched, tagged, equal=names, null_safe=["_miss"], how="left").drop("_miss", *names)
+    incomplete = left.where(~complete).withColumn(alias, F.lit(None).cast(one.schema[alias].dataType))
+    return join_on(left.where(complete), one, equal=pairs, how="left").unionByName(incomplete)
 
 
-def longest_prefix(
-    left: DataFrame, text: str, prefixes: DataFrame, prefix: str, values: Sequence[str], max_length: int = 7
-) -> DataFrame:
-    """Left join on the longest ``prefix`` that ``text`` starts with.
+def longest_prefix(left: DataFrame, text: str, prefixes: DataFrame, prefix: str, values: Sequence[str]) -> DataFrame:
+    """Left join on the longest ``prefix`` that ``text`` starts with; the prefix table holds one row per prefix.
 
-    One equi-join per prefix length; Spark broadcasts each slice of the prefix table when it
-    is small enough. The prefix table holds one row per prefix.
+    The rows are cut to their distinct leads, as many characters as the longest prefix has. Each lead is
+    looked up at every length, and rows meet what their lead has found.
     """
-    out = left
-    lengths = range(1, max_length + 1)
-    for n in lengths:
-        part = prefixes.where(F.length(prefix) == n).select(
-            F.col(prefix).alias(f"_p{n}"), *[F.col(v).alias(f"_{v}{n}") for v in values]
-        )
-        out = out.join(part, F.substring(F.col(text), 1, n) == F.col(f"_p{n}"), "left")
-    found = [
-        F.coalesce(*[F.when(F.col(f"_p{n}").isNotNull(), F.col(f"_{v}{n}")) for n in reversed(lengths)]).alias(v)
-        for v in values
-    ]
-    return out.select(*left.columns, *found)
+    reach = prefixes.agg(F.max(F.length(prefix))).first()[0] or 0
+    lead = F.substring(F.col(text), 1, reach)
+    leads = left.select(lead.alias("_lead")).where("_lead <> ''").distinct()
+    starts = leads.withColumn("_length", F.explode(F.sequence(F.lit(1), F.length("_lead"))))
+    table = prefixes.select(F.col(prefix).alias("_prefix"), F.struct(*[F.col(v) for v in values]).alias("_values"))
+    found = (
+        starts.join(table, F.expr("substring(_lead, 1, _length)") == F.col("_prefix"))
+        .groupBy("_lead")
+        .agg(F.max_by("_values", "_length").alias("_values"))
+    )
+    joined = left.withColumn("_of", lead).join(found, F.col("_of") == F.col("_lead"), "left")
+    return joined.select(*left.columns, *[F.col("_values").getField(v).alias(v) for v in values])

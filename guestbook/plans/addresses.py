@@ -11,7 +11,7 @@ from guestbook.functions.text import trim_blank
 from guestbook.operators.clean import drop_empty_rows, sentinel_to_null
 from guestbook.operators.conform import union_all
 from guestbook.operators.dedupe import distinct_keyed
-from guestbook.operators.joins import join_on, spread_join
+from guestbook.operators.joins import join_on
 from guestbook.schemas import ADDRESS_FIELDS, ADDRESSES, PLACE
 
 
@@ -27,14 +27,14 @@ def address_book(frames: Iterable[DataFrame]) -> DataFrame:
 def consumer_addresses(residences: DataFrame, book: DataFrame) -> DataFrame:
     """Person and address whose six place columns agree, nulls matching nulls.
 
-    Both sides travel as a hash of the place. People without any address share one place,
-    which is known beforehand and spread.
+    Both sides travel as a hash of the place. People with none of the six live nowhere: they would
+    meet every address that is known by other columns only.
     """
     place = natural_key(*PLACE)
-    nowhere = natural_key(*[F.lit(None)] * len(PLACE))
-    people = residences.select(F.col("id").alias("consumer_id"), place.alias("_place"))
-    homes = book.select(F.col("id").alias("address_id"), place.alias("_place"))
-    pairs = spread_join(people, homes, ["_place"], hot=F.col("_place") == nowhere).drop("_place")
+    somewhere = F.coalesce(*[F.col(c).cast("string") for c in PLACE]).isNotNull()
+    people = residences.where(somewhere).select(F.col("id").alias("consumer_id"), place.alias("_place"))
+    homes = book.where(somewhere).select(F.col("id").alias("address_id"), place.alias("_place"))
+    pairs = join_on(people, homes, equal=["_place"]).drop("_place")
     return distinct_keyed(pairs.select("consumer_id", "address_id"))
 
 

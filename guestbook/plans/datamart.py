@@ -84,11 +84,15 @@ def _addresses_of(df: DataFrame, *kinds: str) -> DataFrame:
     return conform_each(df, given, ADDRESS_FIELDS)
 
 
-def conform_all(t: Mapping[str, DataFrame]) -> Conformed:
+def conform_all(t: Mapping[str, DataFrame], staged: bool = True) -> Conformed:
+    """All systems by subject. ``staged`` writes every view that joins tables and feeds several subjects once."""
+    keep = stage if staged else (lambda df, label: df)
     axs, shop, mail = systems.axs(t), systems.shopify(t), systems.iterable_api(t)
-    splash = systems.splash_that(t)
-    championships = systems.salesforce_championships(t)
-    reach = systems.salesforce_reach(t)
+    axs = {**axs, "lines": keep(axs["lines"], "axs-lines")}
+    shop = {**shop, "lines": keep(shop["lines"], "shop-lines")}
+    splash = keep(systems.splash_that(t), "splash")
+    championships = keep(systems.salesforce_championships(t), "championships")
+    reach = keep(systems.salesforce_reach(t), "reach")
     who = {
         "golf_genius": systems.golf_genius(t),
         "splash_that": splash,
@@ -96,8 +100,8 @@ def conform_all(t: Mapping[str, DataFrame]) -> Conformed:
         "salesforce_career_services": systems.salesforce_career_services(t),
         "salesforce_championships": championships,
         "salesforce_reach": reach,
-        "coach_tools": systems.coach_tools(t),
-        "ccms": systems.ccms(t),
+        "coach_tools": keep(systems.coach_tools(t), "coach"),
+        "ccms": keep(systems.ccms(t), "ccms"),
         "iterable_api": mail["people"],
         "shopify": shop["people"],
         "ticket_registry": systems.ticket_registry(t),

@@ -8,7 +8,7 @@ from guestbook.functions.keys import natural_key
 from guestbook.functions.text import year_text
 from guestbook.operators.dedupe import distinct_keyed, keep_one
 from guestbook.operators.joins import lookup
-from guestbook.plans.people import identify
+from guestbook.plans.people import resolve
 from guestbook.schemas import CONSUMER_EVENTS, EVENTS
 
 ADDRESS_KEYS = ("address_1", "city", "state_region", "postal_code", "country")
@@ -32,6 +32,7 @@ def events(keyed: DataFrame, book: DataFrame) -> DataFrame:
     return lookup(one, book, ADDRESS_KEYS, "id", "address_id").select(*EVENTS)
 
 
-def consumer_events(keyed: DataFrame) -> DataFrame:
-    parts = identify(keyed.withColumnRenamed("id", "event_id"), "consumer_id")
+def consumer_events(keyed: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """Who took part; only those of ``people``, if given."""
+    parts = resolve(keyed.withColumnRenamed("id", "event_id"), people)
     return distinct_keyed(parts.select(*[c for c in CONSUMER_EVENTS if c != "id"]))

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from guestbook.operators import audit, clean, quality
+from guestbook.operators.snapshots import placeholder_row
 from guestbook.sinks.files import day_folder, land, write_parquet
 from guestbook.sources import files
 from guestbook.sources.mapping import MappedTable
@@ -50,6 +51,16 @@ def read_zone(spark: SparkSession, path: str, day: dt.date, zone: str = "trusted
     return rows.drop(quality.REASON) if zone == "trusted" else rows
 
 
+def _stand_in(spark: SparkSession, table: MappedTable, path: str, day: dt.date, carry: bool) -> None:
+    before = day_folder(path, day - dt.timedelta(days=1))
+    if carry and files.exists(spark, before):
+        write_parquet(spark.read.parquet(before), day_folder(path, day), partition_by=[ZONE], whole=True)
+        return
+    names = dict.fromkeys(c.split(".")[-1] for c in table.columns if c != clean.NO_COLUMN)
+    blank = placeholder_row(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names)))
+    write_zones(blank.withColumn(quality.REASON, F.lit(None).cast("string")), path, day)
+
+
 def raw_to_trusted(
     spark: SparkSession,
     tables: Iterable[MappedTable],
@@ -57,12 +68,23 @@ def raw_to_trusted(
     out_root: str,
     day: dt.date,
     databases: Mapping[str, str] | None = None,
-) -> dict[str, int]:
-    """Clean, check and write every table that has a raw snapshot; rows written by table."""
-    written = {}
+    missing: str = "report",
+) -> dict[str, int | None]:
+    """Clean, check and write every table that has a raw snapshot; rows written by table.
+
+    A mapped table without a snapshot counts as None. ``missing`` says what stands in for it: nothing
+    (``report``), an all-null row under the mapped columns (``placeholder``), or the zones of the day
+    before (``carry``; a placeholder where there are none).
+    """
+    if missing not in ("report", "placeholder", "carry"):
+        raise ValueError(f"missing: {missing}")
+    written: dict[str, int | None] = {}
     for table in tables:
         path = files.find_snapshot(spark, raw_root, table, day, databases)
         if path is None:
+            written[table.name] = None
+            if missing != "report":
+                _stand_in(spark, table, f"{out_root}/{table.folder(databases)}", day, missing == "carry")
             continue
         raw = files.read_snapshot(spark, path, files.detect_format(spark, path))
         rows = verdicts(raw, table.columns, table.system in DOTTED_SYSTEMS)

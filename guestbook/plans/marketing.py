@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from guestbook.functions.keys import natural_key
 from guestbook.operators.dedupe import distinct_keyed, keep_one
 from guestbook.operators.joins import join_on
-from guestbook.plans.people import identify
+from guestbook.plans.people import resolve
 from guestbook.schemas import ACTION_FIELDS, CAMPAIGN_FIELDS, CONSUMER_MARKETING_ACTIONS, LIST_FIELDS
 
 # The actions that name a list.
@@ -39,9 +39,9 @@ def campaign_lists(log: DataFrame) -> DataFrame:
     return distinct_keyed(pairs).select("id", "campaign_id", "marketing_list_id")
 
 
-def keyed_actions(log: DataFrame) -> DataFrame:
-    """Distinct actions of known people, still with email and time."""
-    acted = identify(log.where(F.col("marketing_action_type").isNotNull()), "consumer_id")
+def keyed_actions(log: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """Distinct actions of known people (of ``people``, if given), still with email and time."""
+    acted = resolve(log.where(F.col("marketing_action_type").isNotNull()), people)
     return distinct_keyed(
         acted.select("consumer_id", campaign_id().alias("campaign_id"), *ACTION_FIELDS, "email", "created_at")
     )

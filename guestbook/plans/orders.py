@@ -9,7 +9,7 @@ from guestbook.operators.clean import drop_empty_rows
 from guestbook.operators.dedupe import keep_one
 from guestbook.operators.joins import join_on, lookup
 from guestbook.plans.events import event_id
-from guestbook.plans.people import identify
+from guestbook.plans.people import resolve
 from guestbook.schemas import ITEM_FIELDS, ORDER_ITEMS, ORDER_PLACE, ORDER_TOTALS, ORDERS
 
 ORDER_KEY = ("source_order_id", "source_system", "source_instance")
@@ -20,12 +20,12 @@ def order_id() -> Column:
     return natural_key(*ORDER_KEY)
 
 
-def orders(lines: DataFrame, sources: DataFrame, book: DataFrame) -> DataFrame:
-    """One row per order of a known person.
+def orders(lines: DataFrame, sources: DataFrame, book: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """One row per order of a known person: one of ``people``, or anybody if they aren't given.
 
     Lines are cut to orders before the two address lookups, which then move one row an order.
     """
-    placed = identify(lines.where(F.col("source_order_id").isNotNull()), "consumer_id").select(
+    placed = resolve(lines.where(F.col("source_order_id").isNotNull()), people).select(
         order_id().alias("id"),
         "consumer_id",
         *ORDER_KEY,

@@ -30,10 +30,12 @@ def residences(identified: DataFrame) -> DataFrame:
     return identified.groupBy("id", *place).agg(F.min("state_region").alias("state_region"))
 
 
-def resolve(facts: DataFrame, people: DataFrame, alias: str = "consumer_id") -> DataFrame:
-    """Facts whose person is in ``people``, with the person's id.
+def resolve(facts: DataFrame, people: DataFrame | None, alias: str = "consumer_id") -> DataFrame:
+    """Facts whose person is in ``people``, with the person's id; the join ships the id alone.
 
-    For facts of a source that did not feed ``people``; the join ships the id alone.
+    Without ``people`` every person named counts as known: that of facts that fed them.
     """
+    if people is None:
+        return identify(facts, alias)
     known = people.select(F.col("id").alias(alias))
     return identify(facts, alias).join(known, alias, "left_semi")

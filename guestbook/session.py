@@ -64,11 +64,19 @@ def _local_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"guestbook-{application_id}-")
 
 
-def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+# Folders made for each session, by its number in the JVM.
+_FOLDERS: dict[int, list[str]] = {}
+
 
+def _made(spark: SparkSession) -> list[str]:
+    return _FOLDERS.setdefault(spark._jsparkSession.hashCode(), [])
 
-_STAGED: list[str] = []
+
+def fresh_dir(spark: SparkSession, label: str) -> str:
+    """A folder of its own in the shared folder, for what lasts no longer than the run."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made(spark).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -79,15 +87,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, f"stage-{label}")
     df.write.parquet(path)
-    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear_staged(spark: SparkSession) -> int:
-    """Delete what this process staged, once the tables made of it are written."""
-    cleared = 0
-    while _STAGED:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    """Delete the session's staged frames and scratch folders, once the tables made of them are written."""
+    cleared, made = 0, _made(spark)
+    while made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(made.pop())
         system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         cleared += bool(system.delete(folder, True))
     return cleared

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from guestbook.operators.clean import empty_to_null
+from guestbook.session import stage
 from guestbook.sinks.files import write_json
 
 
@@ -53,6 +54,7 @@ def write_all(
 ) -> list[str]:
     """Write every table to the targets given; returns the names written.
 
+    A table is evaluated once, staged, and written from there to each target.
     ``on_empty`` says what becomes of an empty table when there is a JSON target: ``skip``
     leaves both targets as they are, ``write`` empties them.
     """
@@ -60,6 +62,7 @@ def write_all(
         raise ValueError(f"on_empty: {on_empty}")
     written = []
     for name, df in tables.items():
+        df = stage(df, name)
         if json_root and on_empty == "skip" and df.isEmpty():
             continue
         if json_root:

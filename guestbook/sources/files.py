@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
@@ -15,8 +14,6 @@ from guestbook.sources.mapping import MappedTable
 # Fixed value: formats a snapshot may come in; anything else is read as parquet.
 FORMATS = ("parquet", "json", "csv")
 
-CASE_SENSITIVE = "spark.sql.caseSensitive"
-
 
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema: Schema | None = None) -> DataFrame:
     """Everything under one folder, sub-folders included."""
@@ -25,10 +22,24 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema:
         reader = reader.option("header", True)
     if schema:
         return reader.schema(struct_of(schema)).load(path)
-    with _exact_names(spark):
-        df = reader.load(path)
-    once = first_of_each(df.schema)
-    return df if len(once) == len(df.schema) else reader.schema(once).load(path)
+    return reader.schema(infer_schema(spark, path, fmt)).load(path)
+
+
+def infer_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType:
+    """All columns of all files of a snapshot; files that type a column differently are an error.
+
+    Columns whose names differ in case only are one. Text formats are read whole for this, so a
+    caller that reads a table again keeps the schema and gives it to :func:`read_snapshot`.
+    """
+    # A session of its own: names that differ in case are two columns here, and only here.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.caseSensitive", "true")
+    reader = apart.read.format(fmt).option("recursiveFileLookup", True)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    elif fmt == "parquet":
+        reader = reader.option("mergeSchema", True)
+    return first_of_each(reader.load(path).schema)
 
 
 def first_of_each(schema: StructType) -> StructType:
@@ -39,17 +50,6 @@ def first_of_each(schema: StructType) -> StructType:
     return StructType(list(kept.values()))
 
 
-@contextmanager
-def _exact_names(spark: SparkSession) -> Iterator[None]:
-    """While a schema is inferred, names that differ in case are two columns, not an error."""
-    before = spark.conf.get(CASE_SENSITIVE)
-    spark.conf.set(CASE_SENSITIVE, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CASE_SENSITIVE, before)
-
-
 def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
@@ -63,22 +63,6 @@ def _list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(folder))
 
 
-SPREAD_BYTES = 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table over all cores when it comes in fewer splits than there are cores.
-
-    A big table has splits enough and passes unchanged, and one below a megabyte is not worth
-    the shuffle.
-    """
-    plan = df._jdf.queryExecution()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if int(str(plan.optimizedPlan().stats().sizeInBytes())) < SPREAD_BYTES:
-        return df
-    return df if plan.toRdd().getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _hidden(name: str) -> bool:
     return name.startswith(("_", "."))
 

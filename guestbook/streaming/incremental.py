@@ -9,12 +9,21 @@ from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 
+#: Beyond Spark's own limit of a week a file dated before the newest would never be taken.
+ANY_AGE = "36500d"
+
 
 def new_files(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 10_000, **options
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 10_000,
+    max_age: str = ANY_AGE, **options
 ) -> DataFrame:
-    """A stream over the files of a folder, in batches of bounded size."""
+    """A stream over the files of a folder, in batches of bounded size.
+
+    Files may carry any date. Names of files taken are remembered up to ``max_age`` before the newest;
+    a shorter age bounds that memory and loses files that come in with an older date.
+    """
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFileAge", max_age)
     return reader.options(**options).load(path)
 
 

@@ -1,50 +1,52 @@
-"""Landing of webhook messages: one row per (event, message) under a dated folder."""
+"""Landing of webhook messages: every message received, under a folder of its event and day."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from guestbook.operators.dedupe import keep_one
 
 # The fields read from a message body.
 BODY = "eventName string, dataFields struct<messageId: string>"
 
-LATENESS = "1 day"
+#: Column that says why a message can't be used, and its word for one that can.
+FAULT = "fault"
+NO_FAULT = "none"
 
 
 def parse(messages: DataFrame, body: str = "body", at: str = "received_at") -> DataFrame:
-    """Event name, message id and day beside the body; bodies without either id are left out."""
-    fields = F.from_json(F.col(body), BODY)
-    return (
-        messages.select(
-            fields.getField("eventName").alias("event_name"),
-            fields.getField("dataFields").getField("messageId").alias("message_id"),
-            F.col(at).alias("received_at"),
-            F.to_date(F.col(at)).alias("event_date"),
-            F.col(body).alias("body"),
-        )
-    ).where(F.col("event_name").isNotNull() & F.col("message_id").isNotNull())
-
-
-def land_messages(
-    messages: DataFrame, out: str, checkpoint: str, lateness: str = LATENESS, writers: int = 4
-) -> None:
-    """Stream parsed messages to ``event_name`` / ``event_date`` folders.
-
-    Rows are gathered by folder before they are written, so a batch leaves at most ``writers``
-    files in each; a hot event is split over that many tasks.
-
-    A repeat within ``lateness`` is dropped, which bounds the state. A later repeat, and one
-    whose body differs, is settled by ``latest_messages`` when the landing is read.
+    """Event name, message id and day beside the body, and what is wrong with the message.
+
+    No message is left out: one that does not parse or lacks an id or a time comes with the first such ``fault``.
     """
-    fresh = messages.withWatermark("received_at", lateness).dropDuplicatesWithinWatermark(
-        ["event_name", "message_id", "event_date", "body"]
+    fields = F.from_json(F.col(body), BODY)
+    name, number = fields.getField("eventName"), fields.getField("dataFields").getField("messageId")
+    fault = (
+        F.when(F.get_json_object(F.col(body), "$").isNull(), "unreadable")
+        .when(name.isNull(), "no event name")
+        .when(number.isNull(), "no message id")
+        .when(F.col(at).isNull(), "no time")
+        .otherwise(NO_FAULT)
     )
-    writer = F.pmod(F.xxhash64("message_id"), F.lit(writers))
-    fresh = fresh.repartition("event_name", "event_date", writer)
+    return messages.select(
+        name.alias("event_name"),
+        number.alias("message_id"),
+        F.col(at).alias("received_at"),
+        F.to_date(F.col(at)).alias("event_date"),
+        F.col(body).alias("body"),
+        fault.alias(FAULT),
+    )
+
+
+def land_messages(messages: DataFrame, out: str, checkpoint: str) -> None:
+    """Stream parsed messages to ``fault`` / ``event_name`` / ``event_date`` folders.
+
+    Nothing is dropped, however late, so no state is kept and nothing is shuffled: every task of a batch
+    writes what it has read. Repeats are settled by ``latest_messages`` when the landing is read.
+    """
     query = (
-        fresh.writeStream.format("parquet")
-        .partitionBy("event_name", "event_date")
+        messages.writeStream.format("parquet")
+        .partitionBy(FAULT, "event_name", "event_date")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -53,6 +55,15 @@ def land_messages(
     query.awaitTermination()
 
 
+def landed_messages(spark: SparkSession, out: str) -> DataFrame:
+    """The messages that can be used; the folders of the others aren't opened."""
+    return spark.read.parquet(out).where(F.col(FAULT) == NO_FAULT).drop(FAULT)
+
+
+def faulty_messages(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(out).where(F.col(FAULT) != NO_FAULT)
+
+
 def latest_messages(landed: DataFrame, tie: Column | None = None) -> DataFrame:
     """The last copy of each message of a day wins."""
     order = [F.col("received_at").desc_nulls_last(), tie if tie is not None else F.col("body").asc_nulls_last()]

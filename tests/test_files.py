@@ -16,7 +16,7 @@ from guestbook.sinks.warehouse import FolderTarget, full_refresh, write_all
 from guestbook.sources import files
 from guestbook.sources.mapping import MappedTable, load_mapping, mapped_tables
 from guestbook.streaming.incremental import BATCH, new_files, run_once
-from guestbook.streaming.webhook import land_messages, latest_messages, parse
+from guestbook.streaming.webhook import faulty_messages, land_messages, landed_messages, latest_messages, parse
 from tests.conftest import rows
 
 DAY = dt.date(2024, 3, 7)
@@ -125,7 +125,7 @@ def test_write_all_and_refresh(spark, tmp_path):
 def test_json_names_that_differ_in_case(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": 1, "Id": "x", "p.q": " two  words "}\n{"id": 2, "Id": "y"}\n')
     raw = files.read_snapshot(spark, str(tmp_path), "json")
-    assert spark.conf.get(files.CASE_SENSITIVE) == "false"
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
     tidy = landing.clean_table(raw, ["id", "p_q"], dotted=True)
     assert tidy.columns == ["Id", "p_q"]
     assert rows(tidy) == [("x", "two words"), ("y", None)]
@@ -231,7 +231,9 @@ def test_webhook_last_copy_wins(spark, tmp_path):
     df.write.parquet(src)
     land_messages(parse(new_files(spark, src, df.schema)), out, checkpoint)
     landed = spark.read.parquet(out)
-    assert landed.count() == 3
-    last = latest_messages(landed).select("event_name", "message_id", F.get_json_object("body", "$.dataFields.x"))
+    assert landed.count() == 6
+    faults = faulty_messages(spark, out).groupBy("fault").count()
+    assert rows(faults) == [("no message id", 1), ("unreadable", 1)]
+    last = latest_messages(landed_messages(spark, out)).select("event_name", "message_id", F.get_json_object("body", "$.dataFields.x"))
     assert rows(last) == [("click", "m1", "2"), ("open", "m1", "3")]
-    assert (Path(out) / "event_name=click" / "event_date=2024-03-07").is_dir()
+    assert (Path(out) / "fault=none" / "event_name=click" / "event_date=2024-03-07").is_dir()

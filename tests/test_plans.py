@@ -12,7 +12,6 @@ from guestbook import session
 from guestbook.operators.dedupe import keep_one
 from guestbook.operators.joins import full_outer, join_on
 from guestbook.operators.snapshots import latest_snapshot, of_day
-from guestbook.sources.files import spread
 
 SF_DIR = "/root/testdata/sf0.001"
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
@@ -93,19 +92,6 @@ def test_latest_snapshot_has_no_window(spark):
     assert "Window" not in plan_of(latest_snapshot(df, ["k"], "id"))
 
 
-def test_spread_leaves_big_and_tiny_tables(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(500_000).select("id", F.rand(1).alias("r")).coalesce(1).write.parquet(path)
-    one = spark.read.parquet(path)
-    assert "RoundRobin" in plan_of(spread(one))
-    assert spread(one).count() == 500_000
-    many = str(tmp_path / "many")
-    one.repartition(16).write.parquet(many)
-    assert "RoundRobin" not in plan_of(spread(spark.read.option("maxPartitionBytes", 1).parquet(many)))
-    tiny = spark.range(3)
-    assert spread(tiny) is tiny
-
-
 def test_source_of_a_joined_view_reads_one_table(spark, no_broadcast):
     from guestbook.plans.origins import source_rows
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from guestbook.functions import date_path, epoch_micros, from_epoch_micros, squeeze, street_line
 from guestbook.operators import clean
-from guestbook.plans.landing import verdicts
+from guestbook.operators.quality import REASON
+from guestbook.plans.landing import read_zone, verdicts, write_zones
+from guestbook.session import fresh_dir
+from guestbook.sources.files import read_snapshot
 from guestbook.sources.systems import store_customers, store_orders
+from workload.quality import email_sql, phone_sql
 from workload.recipes import CRM, SQUEEZED, crm
 from workload.registry import Tables, query
 
@@ -229,11 +235,36 @@ def json_fields(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
 
 
+# Every fifth person comes twice, in rows that are equal.
+REPEATED = f"select id, first_name, email, phone from ({CRM}) union all select id, first_name, email, phone from ({CRM}) where id % 5 = 0"
+TIDY = f"select distinct id, {SQUEEZED % 'first_name'} as first_name, {SQUEEZED % 'email'} as email, {SQUEEZED % 'phone'} as phone from ({REPEATED})"
+
+
 @query(
-    f"""select distinct doc_id, {SQUEEZED % 'text'} as text, {SQUEEZED % 'lang'} as lang, {SQUEEZED % 'source'} as source,
-      cast(null as varchar) as author, cast(null as varchar) as reject_reason from {{documents}}"""
+    f"""select id, first_name, email, phone, cast(null as varchar) as referrer,
+      case when {email_sql('email')} = 'invalid' then 'email' when {phone_sql('phone')} = 'invalid' then 'phone' end
+        as reject_reason
+    from ({TIDY})"""
 )
 def raw_to_trusted(t: Tables) -> DataFrame:
-    """The whole cleaning step over whole texts; nothing here is an email or a phone."""
-    raw = t.documents.select("doc_id", "text", "lang", "source")
-    return verdicts(raw, ["text", "lang", "source", "author"])
+    """A raw table cleaned, split and written as two zones; both are read back."""
+    mapped = ["id", "first_name", "email", "phone", "referrer"]
+    path, day = fresh_dir(t.spark, "zones"), dt.date(2024, 1, 2)
+    write_zones(verdicts(t.sql(REPEATED), mapped), path, day)
+    good = read_zone(t.spark, path, day).withColumn(REASON, F.lit(None).cast("string"))
+    return good.unionByName(read_zone(t.spark, path, day, "quarantine")).select(*mapped, REASON)
+
+
+@query("""select doc_id, text, lang, source, cast(null as varchar) as author from {documents}
+  union all select -1 - n_nationkey, n_name, null, null, n_comment from (select *, 'author ' || n_name as n_comment from {nation})""")
+def drifted_snapshot(t: Tables) -> DataFrame:
+    """A snapshot of two files, one of which lacks a column and one of which lacks two: all columns come back."""
+    path = fresh_dir(t.spark, "drift")
+    t.documents.select("doc_id", "text", "lang", "source").write.parquet(f"{path}/b")
+    late = t.nation.select(
+        (F.lit(-1).cast("bigint") - F.col("n_nationkey")).alias("doc_id"),
+        F.col("n_name").alias("text"),
+        F.concat(F.lit("author "), "n_name").alias("author"),
+    )
+    late.write.parquet(f"{path}/a")
+    return read_snapshot(t.spark, path).select("doc_id", "text", "lang", "source", "author")

@@ -144,7 +144,8 @@ HOMES_SQL = f"""homes as (
     f"""with {IDENTIFIED_SQL}, {_book_sql(HOME_ROWS, ORDER_ROWS)}, {HOMES_SQL},
     pairs as (
       select distinct h.id as consumer_id, b.id as address_id from homes h join book b on
-      {' and '.join(f'h.{c} is not distinct from b.{c}' for c in BOOK_COLUMNS)})
+      {' and '.join(f'h.{c} is not distinct from b.{c}' for c in BOOK_COLUMNS)}
+      where coalesce({', '.join(f'h.{c}' for c in BOOK_COLUMNS)}) is not null)
     select *, {key_sql('consumer_id', 'address_id')} as id from pairs"""
 )
 def person_address(t: Tables) -> DataFrame:
@@ -236,9 +237,21 @@ def _lookup_sql(kind: str) -> str:
     return f"left join found {kind} on " + " and ".join(f"o.{kind}_{c} = {kind}.{c}" for c in ORDER_PLACES)
 
 
+# The people of the shop's own register, in which every seventh buyer is missing.
+BUYERS = """
+select 'Customer' as name_first, lpad(cast(c_custkey as string), 9, '0') as name_last,
+  concat('u', cast(c_custkey as string), '@example.org') as email
+from {customer} where c_custkey % 7 <> 0
+"""
+
+
+def buyers(t: Tables) -> DataFrame:
+    return persons.identify(t.sql(BUYERS))
+
+
 ORDERS_SQL = f"""l as ({LINES}), {_book_sql(ORDER_ROWS)},
   found as (select {', '.join(ORDER_PLACES)}, min(id) as address_id from book group by all),
-  p as (select distinct name_first, name_last, email, {PERSON_KEY} as pid from l where email is not null),
+  p as (select *, {PERSON_KEY} as pid from ({BUYERS})),
   s as (select * from {SOURCES_SQL}),
   o as (select distinct {ORDER_KEY} as id, p.pid as consumer_id, s.id as source_system_id, source_order_id,
       order_date, total, {', '.join(f'{k}_{c}' for k in ('shipping', 'billing') for c in ORDER_PLACES)}
@@ -255,8 +268,11 @@ ORDERS_SQL = f"""l as ({LINES}), {_book_sql(ORDER_ROWS)},
     from o {_lookup_sql('shipping')} {_lookup_sql('billing')}"""
 )
 def orders_fact(t: Tables) -> DataFrame:
+    """Orders of registered people; others' orders aren't facts."""
     book = places.address_book([order_addresses(t)])
-    made = sales.orders(lines(t), _sources(t), book)
+    placed = t.once("lines", lambda: stage(lines(t), "lines"))
+    sources = origins.source_systems(origins.source_rows(placed, "source_instance"))
+    made = sales.orders(placed, sources, book, buyers(t))
     return made.select(
         "id", "consumer_id", "source_system_id", "source_order_id", "address_shipping_id", "address_billing_id",
         F.date_format("order_date", "yyyy-MM-dd").alias("order_day"), "total",
@@ -272,7 +288,7 @@ ITEM_COLUMNS = ["source_product_id", "product_name", "quantity", "unit_price", "
       where event_name is not null),
     ek as (select *, {EVENT_KEY} as event_id from e),
     o as (select distinct {ORDER_KEY} as order_id, source_order_id, source_system, source_instance from l
-      where source_order_id is not null and email is not null),
+      where source_order_id is not null and email in (select email from ({BUYERS}))),
     i as (select distinct source_order_id, source_system, source_instance, {', '.join(ITEM_COLUMNS)}, event_name,
         venue_name, cast(year(event_datetime) as varchar) as year from l
       where source_order_id is not null or source_product_id is not null)
@@ -284,8 +300,11 @@ ITEM_COLUMNS = ["source_product_id", "product_name", "quantity", "unit_price", "
     where coalesce(cast(i.quantity as varchar), cast(i.unit_price as varchar), i.product_name) is not null"""
 )
 def order_items_fact(t: Tables) -> DataFrame:
-    placed = lines(t).where(F.col("source_order_id").isNotNull() & F.col("email").isNotNull())
-    made = sales.order_items(lines(t), placed.select(sales.order_id().alias("id")).distinct())
+    """Items of the orders of registered people."""
+    rows = t.once("lines", lambda: stage(lines(t), "lines"))
+    sources = origins.source_systems(origins.source_rows(rows, "source_instance"))
+    placed = sales.orders(rows, sources, places.address_book([order_addresses(t)]), buyers(t))
+    made = sales.order_items(rows, placed)
     return made.select("order_id", *ITEM_COLUMNS, "event_id")
 
 

@@ -19,10 +19,13 @@ from workload.recipes import CRM, UNBLANKED, VENDOR, crm
 from workload.registry import Tables, query
 
 
+WORD = r"[\p{L}\p{N}_.-]"
+
+
 def email_sql(c: str) -> str:
     low = f"lower({c})"
     return f"""case when {c} is null then 'invalid'
-      when not regexp_matches({low}, '[\\w.-]+@[\\w.-]+[^\\n]\\w+') then 'invalid'
+      when not regexp_matches({low}, '{WORD}+@{WORD}+[^\\n][\\p{{L}}\\p{{N}}_]+') then 'invalid'
       when length({low}) - length(replace({low}, '@', '')) > 1 then 'invalid'
       when contains(split_part({low}, '@', 1), 'www') or contains(split_part({low}, '@', 1), 'http') then 'invalid'
       when not contains(split_part({low}, '@', 2), '.') then 'invalid'
@@ -42,7 +45,7 @@ def either(a: str, b: str) -> str:
 
 @query(
     f"""select id, email, {email_sql('email')} as status, {email_sql(UNBLANKED % 'email')} as trimmed_status,
-      case when regexp_matches(email, '[\\w.]+@[\\w.]')
+      case when regexp_matches(email, '[\\p{{L}}\\p{{N}}_.]+@[\\p{{L}}\\p{{N}}_.]')
         and regexp_extract(email, '([^.]*)$', 1) in ('com', 'org', 'net', 'int', 'edu', 'gov', 'mil')
         then 'valid' else 'invalid' end as seven_status
     from ({CRM})"""
@@ -70,22 +73,49 @@ def email_in_text(t: Tables) -> DataFrame:
     return found.select("doc_id", "address", email_status("address").alias("status"))
 
 
+# An address for each way to break the rule, and some that keep it. What is too long behind the sign alone is too
+# long as a whole before that.
+SHAPES = """
+select c_custkey as id, case c_custkey % 18
+    when 0 then null when 1 then 'plain' when 2 then 'a@b@example.com' when 3 then '@example.com' when 4 then 'u@'
+    when 5 then concat(repeat('a', 60), '@', repeat('b.', 100), 'com')
+    when 6 then concat(repeat('a', 65), '@example.com')
+    when 7 then concat('a', '@', repeat('b.', 126), 'com')
+    when 8 then 'a b@example.com' when 9 then '.a@example.com' when 10 then 'a@exa mple.com'
+    when 11 then 'a@example..com' when 12 then 'a@-example.com'
+    when 13 then concat('a@', repeat('b', 64), '.com') when 14 then 'a@example' when 15 then 'a@example.123'
+    when 16 then 'a@example.test' else concat('u', cast(c_custkey as string), '@example.com') end as email
+from {customer}
+"""
+LOCAL, DOMAIN = "split_part(email, '@', 1)", "split_part(email, '@', 2)"
+
+
 @query(
     f"""select id, email, case
         when email is null then 'missing'
         when not contains(email, '@') then 'no @-sign'
         when length(email) - length(replace(email, '@', '')) > 1 then 'more than one @-sign'
-        when split_part(email, '@', 1) = '' then 'nothing before the @-sign'
-        when split_part(email, '@', 2) = '' then 'nothing after the @-sign'
-        when not regexp_matches(split_part(email, '@', 1), '^[A-Za-z0-9!#$%&''*+\\-/=?^_`{{|}}~.]+$')
-          then 'bad character before the @-sign'
-        when not regexp_matches(split_part(email, '@', 2), '^[A-Za-z0-9.\\-]+$') then 'bad character after the @-sign'
-        when split_part(email, '@', 2) = 'example.invalid' then 'reserved domain'
+        when {LOCAL} = '' then 'nothing before the @-sign'
+        when {DOMAIN} = '' then 'nothing after the @-sign'
+        when length(email) > 254 then 'address too long'
+        when length({LOCAL}) > 64 then 'too long before the @-sign'
+        when length({DOMAIN}) > 253 then 'too long after the @-sign'
+        when not regexp_matches({LOCAL}, '^[A-Za-z0-9!#$%&''*+\\-/=?^_`{{|}}~.]+$') then 'bad character before the @-sign'
+        when {LOCAL} like '.%' or {LOCAL} like '%.' or contains({LOCAL}, '..') then 'misplaced period before the @-sign'
+        when not regexp_matches({DOMAIN}, '^[A-Za-z0-9.\\-]+$') then 'bad character after the @-sign'
+        when {DOMAIN} like '.%' or {DOMAIN} like '%.' or contains({DOMAIN}, '..') then 'misplaced period after the @-sign'
+        when {DOMAIN} like '-%' or {DOMAIN} like '%-' or contains({DOMAIN}, '.-') or contains({DOMAIN}, '-.')
+          then 'misplaced hyphen after the @-sign'
+        when len(list_filter(string_split({DOMAIN}, '.'), lambda x: length(x) > 63)) > 0 then 'domain label too long'
+        when not contains({DOMAIN}, '.') then 'no period after the @-sign'
+        when not regexp_matches(lower({DOMAIN}), '[a-z]$') then 'domain does not end in a letter'
+        when regexp_extract(lower({DOMAIN}), '([^.]*)$', 1)
+          in ('arpa', 'invalid', 'local', 'localhost', 'onion', 'test') then 'reserved domain'
         else 'valid email' end as reason
-    from (select id, email from ({CRM}) union all select id, email from ({VENDOR}))"""
+    from (select id, email from ({CRM}) union all select id, email from ({VENDOR}) union all {SHAPES})"""
 )
 def email_reasons(t: Tables) -> DataFrame:
-    both = crm(t).select("id", "email").union(t.sql(VENDOR).select("id", "email"))
+    both = crm(t).select("id", "email").union(t.sql(VENDOR).select("id", "email")).union(t.sql(SHAPES))
     return both.select("id", "email", email_reason("email").alias("reason"))
 
 
@@ -94,12 +124,14 @@ def phone_validity(t: Tables) -> DataFrame:
     return crm(t).select("id", "phone", phone_status("phone").alias("status"))
 
 
-@query(
-    f"""select id, phone, last_name, {either(phone_sql('phone'), phone_sql('last_name'))} as status from ({CRM})"""
-)
+# A second number: good where the first is missing or short, and the other way round.
+SECOND = f"""select *, case id % 3 when 0 then concat('020 7946 ', lpad(cast(id as string), 4, '0')) when 1 then '12345'
+    end as mobile from ({CRM})"""
+
+
+@query(f"""select id, phone, mobile, {either(phone_sql('phone'), phone_sql('mobile'))} as status from ({SECOND})""")
 def phone_any_of(t: Tables) -> DataFrame:
-    """The last name stands in for a second number: nine digits, so never enough."""
-    return crm(t).select("id", "phone", "last_name", any_phone_status("phone", "last_name").alias("status"))
+    return t.sql(SECOND).select("id", "phone", "mobile", any_phone_status("phone", "mobile").alias("status"))
 
 
 @query(f"select id, regexp_replace(phone, '[^0-9a-zA-Z$]+', '', 'g') as phone from ({CRM})")
@@ -115,6 +147,10 @@ PREFIXES = [
     ("12", "NA-2", "America/2"),
     ("44", "GB", "Europe/London"),
     ("1555", "NA-555", "America/555"),
+    ("1104555", "NA-104", "America/104"),
+    ("11045550", "NA-1040", "America/1040"),
+    ("110455500", "NA-10400", "America/10400"),
+    ("11055550", "NA-1050", "America/1050"),
 ]
 PREFIX_SQL = "(values " + ", ".join(str(p) for p in PREFIXES) + ") p(prefix, country, zone)"
 

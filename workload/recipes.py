@@ -16,7 +16,8 @@ select c_custkey as id, 'crm' as source_system,
   concat('  ', split_part(c_name, '#', 1), '   ') as first_name,
   split_part(c_name, '#', 2) as last_name,
   case c_custkey % 6
-    when 0 then concat(c_mktsegment, cast(c_custkey as string), '@example.com')
+    when 0 then concat(case when c_custkey % 12 = 0 then 'josé.' else '' end, c_mktsegment, cast(c_custkey as string),
+                       case when c_custkey % 24 = 0 then '@exämple.com' else '@example.com' end)
     when 1 then concat(' u', cast(c_custkey as string), '@example.org', chr(9))
     when 2 then concat('www.u', cast(c_custkey as string), '@example.com')
     when 3 then concat('u', cast(c_custkey as string), '@@example.com')
@@ -79,10 +80,11 @@ from {{orders}} left join {{lineitem}} on o_orderkey = l_orderkey
 ACTIONS = """
 select event_id, concat('u', cast(user_id as string), '@example.org') as email,
   case event_type when 'click' then 'email_click' when 'view' then 'email_open'
-    when 'signup' then 'email_subscribe' else 'email_unsubscribe' end as marketing_action_type,
+    when 'signup' then 'email_subscribe' when 'purchase' then 'email_purchase'
+    else 'email_unsubscribe' end as marketing_action_type,
   cast(regexp_extract(props, '([0-9]+)', 1) as int) % 20 as source_campaign_id,
   cast(regexp_extract(props, '([0-9]+)', 1) as int) % 7 as list_id, ts as created_at
-from {events} where event_type <> 'purchase'
+from {events}
 """
 
 # Visits of occurrences with nullable name and venue, over several years.

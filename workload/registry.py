@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from guestbook.session import tune
-from guestbook.sources.files import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,7 +31,7 @@ class Tables:
         self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.once(name, lambda: spread(open_parquet(self.spark, f"{self.folder}/{name}.parquet")))
+        return self.once(name, lambda: open_parquet(self.spark, f"{self.folder}/{name}.parquet"))
 
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A frame that several parts of one query share."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,10 +12,11 @@ from guestbook.operators.snapshots import carry_forward, latest_snapshot, missin
 from guestbook.functions import trim_blank
 from guestbook.operators.conform import conform
 from guestbook.session import fresh_dir
-from guestbook.sinks.files import stripped_json, write_json, write_parquet, write_stripped_json
+from guestbook.sinks.files import land, stripped_json, write_json, write_parquet, write_stripped_json
 from guestbook.sinks.warehouse import FolderTarget, full_refresh
 from guestbook.streaming.incremental import new_files, run_once
-from guestbook.streaming.webhook import land_messages, latest_messages, parse
+from guestbook.sources.files import _file_system
+from guestbook.streaming.webhook import faulty_messages, land_messages, landed_messages, latest_messages, parse
 from workload.recipes import ACTIONS, CAMPAIGNS, CRM, LISTS, UNBLANKED, VENDOR, crm, vendor
 from workload.registry import Tables, query
 
@@ -344,29 +346,53 @@ def warehouse_refresh(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(f"{root}/people")
 
 
-@query(
-    """select event_id, user_id, strftime(ts, '%Y-%m-%d') as day from {events} where cast(ts as date) = date '2024-01-02'"""
-)
+@query("""select n_nationkey, n_name, day from {nation}, (values ('2024-01-01'), ('2024-01-02')) d(day)
+    union all select -1, 'again', '2024-01-01'""")
 def raw_landing(t: Tables) -> DataFrame:
-    """Events landed by day; the read of one day opens that day's folder alone."""
+    """Two days landed, the first of them twice: the second landing replaces that day alone."""
+    path = fresh_dir(t.spark, "raw")
+    rows = t.nation.select("n_nationkey", "n_name")
+    more = t.spark.range(1).select((F.col("id") - 1).cast(rows.schema["n_nationkey"].dataType).alias("n_nationkey"), F.lit("again").alias("n_name"))
+    for day, df in (("2024-01-01", rows.limit(1)), ("2024-01-02", rows), ("2024-01-01", rows.union(more))):
+        land(df, path, day)
+    return t.spark.read.parquet(path).select("n_nationkey", "n_name", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
+
+
+@query("""select event_id, user_id, strftime(ts, '%Y-%m-%d') as day from {events}""")
+def landed_days(t: Tables) -> DataFrame:
+    """Events landed by day, all days read back one by one."""
     path = fresh_dir(t.spark, "raw")
     daily = t.events.select("event_id", "user_id", F.to_date("ts").alias("snapshot_date"))
     write_parquet(daily.repartition("snapshot_date"), path, partition_by=["snapshot_date"])
-    landed = of_day(t.spark.read.parquet(path), "2024-01-02")
-    return landed.select("event_id", "user_id", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
+    landed = t.spark.read.parquet(path)
+    days = [of_day(landed, dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(31)]
+    rest = landed.where(~F.col("snapshot_date").between("2024-01-01", "2024-01-31"))
+    return reduce(DataFrame.union, [*days, rest]).select("event_id", "user_id", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
 
 
 # --- streams ---------------------------------------------------------------------------------
 
 
+def _date_files(t: Tables, path: str, day: dt.datetime) -> None:
+    """Date every file of a folder."""
+    system, folder = _file_system(t.spark, path)
+    for status in system.listStatus(folder):
+        system.setTimes(status.getPath(), int(day.timestamp() * 1000), -1)
+
+
 @query("select event_id, user_id, event_type, value from {events} where event_type <> 'error'")
 def incremental_files(t: Tables) -> DataFrame:
-    """Two runs over one folder: the second finds no file it has not taken."""
+    """Four runs over one folder: the first half, nothing new, the rest in files dated a month before, nothing new."""
     schema = t.events.schema
-    out, checkpoint = fresh_dir(t.spark, "increment"), fresh_dir(t.spark, "progress")
-    for _ in range(2):
-        stream = new_files(t.spark, t.folder, schema, pathGlobFilter="events.parquet")
-        run_once(stream, out, checkpoint, lambda batch: batch.where(F.col("event_type") != "error"))
+    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("intake", "increment", "progress"))
+    for half in (0, 1):
+        part = f"{source}/part={half}"
+        t.events.where(F.col("event_id") % 2 == half).write.parquet(part)
+        if half:
+            _date_files(t, part, dt.datetime.now() - dt.timedelta(days=30))
+        for _ in range(2):
+            stream = new_files(t.spark, f"{source}/part=*", schema)
+            run_once(stream, out, checkpoint, lambda batch: batch.where(F.col("event_type") != "error"))
     return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
 
 
@@ -374,16 +400,21 @@ MESSAGE_ID = "concat(cast(user_id as varchar), '-', cast(regexp_extract(props, '
 
 
 @query(
-    f"""select event_type as event_name, {MESSAGE_ID} as message_id, strftime(ts, '%Y-%m-%d') as event_date,
-      max(strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) as received_at
-    from {{events}} group by 1, 2, 3"""
+    f"""select 'none' as fault, event_type as event_name, {MESSAGE_ID} as message_id, strftime(ts, '%Y-%m-%d') as event_date,
+      count(*) * 2 as copies, max(strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) as received_at
+    from {{events}} where event_id % 10 <> 0 group by 2, 3, 4
+    union all
+    select case event_id % 30 when 0 then 'unreadable' when 10 then 'no event name' else 'no message id' end,
+      null, cast(event_id as varchar), strftime(ts, '%Y-%m-%d'), 2, strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+    from {{events}} where event_id % 10 = 0"""
 )
 def webhook_landing(t: Tables) -> DataFrame:
-    """Message bodies landed as a stream; the last copy of a message of a day wins."""
-    schema = t.events.schema
-    stream = new_files(t.spark, t.folder, schema, pathGlobFilter="events.parquet")
+    """Message bodies landed in three runs, the latest days first, each twice; every tenth is malformed.
+
+    All are landed, however late. The last copy of a good message of a day wins, the others are counted by body.
+    """
     number = F.get_json_object("props", "$.k")
-    body = F.to_json(
+    good = F.to_json(
         F.struct(
             F.col("event_type").alias("eventName"),
             F.struct(F.concat_ws("-", F.col("user_id").cast("string"), number).alias("messageId"), "event_id").alias(
@@ -391,13 +422,36 @@ def webhook_landing(t: Tables) -> DataFrame:
             ),
         )
     )
-    messages = parse(stream.select(body.alias("body"), F.col("ts").cast("timestamp").alias("received_at")))
-    out, checkpoint = fresh_dir(t.spark, "webhook"), fresh_dir(t.spark, "progress")
-    land_messages(messages, out, checkpoint)
-    last = latest_messages(t.spark.read.parquet(out))
-    return last.select(
+    tag = F.col("event_id").cast("string")
+    body = (
+        F.when(F.col("event_id") % 30 == 0, F.concat(F.lit("not json "), tag))
+        .when(F.col("event_id") % 30 == 10, F.concat(F.lit('{"dataFields": {"messageId": "m"}, "n": '), tag, F.lit("}")))
+        .when(F.col("event_id") % 30 == 20, F.concat(F.lit('{"eventName": "click", "n": '), tag, F.lit("}")))
+        .otherwise(good)
+    )
+    sent = t.events.select(body.alias("body"), F.col("ts").cast("timestamp").alias("received_at"))
+    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("sent", "webhook", "progress"))
+    third = F.floor((F.dayofyear("received_at") - 1) / 11)
+    for run in (2, 0, 1):
+        part = sent.where(third == run if run else third.isNull() | ~third.isin(1, 2))
+        part.union(part).write.mode("append").parquet(source)
+        land_messages(parse(new_files(t.spark, source, sent.schema)), out, checkpoint)
+    landed = landed_messages(t.spark, out)
+    names = ["event_name", "message_id", "event_date"]
+    last = latest_messages(landed).select(*names, "received_at")
+    copies = landed.groupBy(*names).agg(F.count("*").alias("copies"))
+    good_rows = join_on(last, copies, equal=names).select(F.lit("none").alias("fault"), *names, "copies", "received_at")
+    bad = (
+        faulty_messages(t.spark, out)
+        .withColumn("message_id", F.regexp_extract("body", "([0-9]+)}?$", 1))
+        .groupBy("fault", F.lit(None).cast("string").alias("event_name"), "message_id", "event_date", "received_at")
+        .agg(F.count("*").alias("copies"))
+    )
+    return good_rows.unionByName(bad).select(
+        "fault",
         "event_name",
         "message_id",
         F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
+        "copies",
         F.date_format("received_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("received_at"),
     )

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from guestbook.operators import audit, clean, quality
+from guestbook.operators.conform import Schema
 from guestbook.operators.snapshots import placeholder_row
 from guestbook.sinks.files import day_folder, land, write_parquet
 from guestbook.sources import files
@@ -69,12 +70,14 @@ def raw_to_trusted(
     day: dt.date,
     databases: Mapping[str, str] | None = None,
     missing: str = "report",
+    schemas: Mapping[str, Schema] | None = None,
 ) -> dict[str, int | None]:
     """Clean, check and write every table that has a raw snapshot; rows written by table.
 
     A mapped table without a snapshot counts as None. ``missing`` says what stands in for it: nothing
     (``report``), an all-null row under the mapped columns (``placeholder``), or the zones of the day
-    before (``carry``; a placeholder where there are none).
+    before (``carry``; a placeholder where there are none). ``schemas`` by frame name spare the pass in
+    which a text format is read to infer one.
     """
     if missing not in ("report", "placeholder", "carry"):
         raise ValueError(f"missing: {missing}")
@@ -86,7 +89,8 @@ def raw_to_trusted(
             if missing != "report":
                 _stand_in(spark, table, f"{out_root}/{table.folder(databases)}", day, missing == "carry")
             continue
-        raw = files.read_snapshot(spark, path, files.detect_format(spark, path))
+        schema = (schemas or {}).get(table.name)
+        raw = files.read_snapshot(spark, path, files.detect_format(spark, path), schema)
         rows = verdicts(raw, table.columns, table.system in DOTTED_SYSTEMS)
         observed = write_zones(rows, f"{out_root}/{table.folder(databases)}", day)
         written[table.name] = observed.get["rows"]

@@ -7,12 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from guestbook.operators.audit import with_audit
+from guestbook.operators.conform import union_all
 from guestbook.operators.snapshots import empty_like
 from guestbook.plans.landing import land_database, load_trusted, raw_to_trusted
 from guestbook.session import fresh_dir
 from guestbook.sinks.warehouse import FolderTarget, write_all
 from guestbook.sources.files import detect_format, find_snapshot, load_tables, read_snapshot
-from guestbook.sources.mapping import MappedTable, load_mapping, mapped_tables
+from guestbook.sources.mapping import MappedTable, load_mapping, mapped_tables, target_schema, to_targets
 from workload.quality import email_sql, phone_sql
 from workload.recipes import CRM, SQUEEZED, VENDOR, crm, vendor
 from workload.registry import Tables, query
@@ -62,6 +63,36 @@ def mapped_landing(t: Tables) -> DataFrame:
     return rows
 
 
+TARGETS = [
+    ("crm", "null", "people", "id", "person", "bigint"),
+    ("crm", "null", "people", "first_name", "name", "string"),
+    ("crm", "null", "people", "phone", "null", "null"),
+    ("crm", "null", "people", "balance", "credit", "int"),
+    ("vendor", "null", "people", "id", "person", "bigint"),
+    ("vendor", "null", "people", "contact.email", "mail", "string"),
+]
+
+
+@query(
+    f"""select c_custkey as person, 'x' as name, cast(trunc(c_acctbal) as int) as credit, cast(null as varchar) as mail from {{customer}}
+    union all select id, null, null, email from ({VENDOR})"""
+)
+def mapped_targets(t: Tables) -> DataFrame:
+    """Two tables under the target columns and types that the mapping names."""
+    spec = fresh_dir(t.spark, "mapping")
+    names = ["source_system", "schema", "source_table", "source_column", "target_column", "target_column_type"]
+    t.spark.createDataFrame(TARGETS, names).coalesce(1).write.option("header", True).csv(spec)
+    tables = mapped_tables(load_mapping(t.spark, spec, with_targets=True))
+    schema = target_schema(tables)
+    frames = {
+        "crm": t.customer.select(
+            F.col("c_custkey").cast("string").alias("id"), F.lit("x").alias("first_name"), F.col("c_acctbal").cast("string").alias("balance")
+        ),
+        "vendor": vendor(t).select("id", "email"),
+    }
+    return union_all(to_targets(frames[x.system], x, schema) for x in tables)
+
+
 @query(
     f"""select 'crm' as system, count(*) as rows from ({CRM}) union all select 'vendor', count(*) from ({VENDOR})
     union all select 'crm next', count(*) from ({CRM}) union all select 'vendor next', null"""

@@ -30,8 +30,8 @@ MIN_WORDS = 50
 MIN_ROWS = 200
 SHARE = 0.75
 STEPS = 4
-#: The distance beyond which one in a million normal vectors lies.
-TAIL = 1e-6
+#: The distance beyond which one in a thousand normal vectors lies.
+TAIL = 1e-3
 #: Transformed statistics and the least standard deviation assumed of each.
 FLOORS = {
     "word_length": 0.12,

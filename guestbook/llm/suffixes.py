@@ -11,7 +11,7 @@ by its hash; only contexts that differ from all others, and those with their anc
 * the suffixes of one column after the other are sorted: up to the next sample by their bytes, and ties beyond by
   the rank of the sample, whose common prefixes say who agrees to the full length.
 
-A bucket beyond a block's size is counted string by string with a hash instead, which any number of tasks share.
+A bucket of more than ``CROWD`` contexts is counted string by string with a hash instead, which any number of tasks share.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ GRAM = 64
 #: Strings around an anchor: as many as there are places of the anchor in them.
 AROUND = LENGTH - GRAM + 1
 WIDTH = AROUND - 1 + LENGTH
-#: Contexts sorted at once, and the largest bucket sorted at all.
+#: Contexts sorted at once, and in the largest bucket sorted in one task (about a kilobyte each).
 BLOCK = 4096
+CROWD = 1 << 16
 COVER = 73
 #: Bytes of a text that are hashed at once.
 PIECE = 1 << 22
@@ -142,23 +143,6 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(_anchored, "h long, m int, at int, anchor long, context long")
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The contexts that a text was asked for, as bytes."""
-    for text, wanted in rows_of(batches, "text", "wanted"):
-        data = text.encode("utf-8", "surrogatepass")
-        n = len(data)
-        places = [w["at"] for w in wanted]
-        yield pd.DataFrame(
-            {
-                "anchor": [w["anchor"] for w in wanted],
-                "context": [w["context"] for w in wanted],
-                "copies": [w["copies"] for w in wanted],
-                "before": [min(at, AROUND - 1) for at in places],
-                "data": [data[max(0, at - AROUND + 1) : min(n, at + LENGTH)] for at in places],
-            }
-        )
-
-
 def repeated_strings(owner: np.ndarray, before: np.ndarray, data: list[bytes], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last column at which a row has a string that another row of its owner has; (1, 0) if none.
 
@@ -304,17 +288,22 @@ def ranges(docs: DataFrame) -> DataFrame:
         .groupBy("one.h", "one.m")
         .agg(F.collect_list(F.struct("anchor", "context", "copies", "one.at")).alias("wanted"))
     )
-    cut = scratch(
-        docs.select(*_text_id(), "text")
+    # A text's bytes are cut where they lie; copies of a text give the same contexts.
+    pieces = (
+        docs.select(*_text_id(), F.col("text").cast("binary").alias("bytes"))
         .join(wanted, ["h", "m"])
-        .select("text", "wanted")
-        .mapInPandas(_cut, "anchor long, context long, copies long, before int, data binary")
-        .join(open_anchors, "anchor"),
-        "cut",
+        .select("bytes", F.explode("wanted").alias("w"))
+        .select(
+            "w.anchor",
+            "w.context",
+            "w.copies",
+            F.expr(f"least(w.at, {AROUND - 1})").alias("before"),
+            F.expr(f"substring(bytes, greatest(w.at - {AROUND - 1}, 0) + 1, least(w.at, {AROUND - 1}) + {LENGTH})").alias("data"),
+        )
     )
-    few = cut.where(F.col("n") <= BLOCK).dropDuplicates(["anchor", "context"])
+    cut = scratch(pieces.dropDuplicates(["anchor", "context"]).join(open_anchors, "anchor"), "cut")
+    few, many = cut.where(F.col("n") <= CROWD), cut.where(F.col("n") > CROWD).drop("n")
     sorted_ranges = few.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_sorted_blocks, _RANGE)
-    many = cut.where(F.col("n") > BLOCK).drop("n").dropDuplicates(["anchor", "context"])
     partial = scratch(sorted_ranges.unionByName(_crowded(many)) if not many.isEmpty() else sorted_ranges, "ranges")
 
     whole = contexts.where("copies > 1").select("anchor", "context").withColumns(

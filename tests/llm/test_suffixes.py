@@ -49,7 +49,7 @@ def test_against_brute_force(spark):
 
 def test_crowded_anchors_give_the_same(spark, monkeypatch):
     some = texts(2)
-    monkeypatch.setattr(suffixes, "BLOCK", 3)
+    monkeypatch.setattr(suffixes, "CROWD", 3)
     docs = documents(spark, list(enumerate(some)))
     assert found(docs) == sorted(brute(some))
 

@@ -143,7 +143,12 @@ def test_split_is_whole(spark):
 
 def test_phone_zone_takes_the_longest_prefix(spark):
     prefixes = spark.createDataFrame(
-        [("1", "US", "America"), ("1571", "US-VA", "America/New_York"), ("44", "GB", "Europe/London")],
+        [
+            ("1", "US", "America"),
+            ("1571", "US-VA", "America/New_York"),
+            ("44", "GB", "Europe/London"),
+            ("447986123", "GB-M", "Europe/London"),
+        ],
         "prefix string, country string, zone string",
     )
     df = spark.createDataFrame(
@@ -154,7 +159,7 @@ def test_phone_zone_takes_the_longest_prefix(spark):
     assert got == {
         "+15714123819": ("US-VA", "valid"),
         "+1 212 5550000": ("US", "valid"),
-        "+447986123456": ("GB", "valid"),
+        "+447986123456": ("GB-M", "valid"),
         "13818827777": (None, "invalid"),
         "+99912345678": (None, "invalid"),
         "+1": (None, "invalid"),

@@ -23,6 +23,10 @@ EMAILS = {
     "a@@b.com": "invalid",
     "www.x@b.com": "invalid",
     "http@b.com": "invalid",
+    "josé@example.com": "valid",
+    "用户@example.org": "valid",
+    "a@exämple.com": "valid",
+    "a@example.cöm": "invalid",
     "a@com": "invalid",
     "a@b.com ": "invalid",
     "": "invalid",

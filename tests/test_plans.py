@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from guestbook import session
 from guestbook.operators.dedupe import keep_one
-from guestbook.operators.joins import full_outer, join_on
+from guestbook.operators.joins import full_outer, join_on, longest_prefix
 from guestbook.operators.snapshots import latest_snapshot, of_day
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -92,6 +92,25 @@ def test_latest_snapshot_has_no_window(spark):
     assert "Window" not in plan_of(latest_snapshot(df, ["k"], "id"))
 
 
+def test_longest_prefix_shuffles_the_rows_twice(spark, no_broadcast):
+    """Once for their distinct leads, of which every task sends its own, and once to meet what the leads have found."""
+    prefixes = spark.createDataFrame([("1", "a"), ("123456789", "b")], "prefix string, country string")
+    numbers = spark.range(9).select(F.col("id").cast("string").alias("n"), F.lit("x").alias("wide"))
+    plan = plan_of(longest_prefix(numbers, "n", prefixes, "prefix", ["country"]))
+    assert plan.count("Range (0, 9") == 2
+    assert plan.count("Join") == 2, "one for the leads and one for the rows, whatever the lengths"
+
+
+def test_conformed_views_are_joined_once(spark):
+    """What the six subjects read of views that join tables is staged."""
+    from guestbook.plans.datamart import conform_all
+    from tests.sources import frames
+
+    joins = [plan_of(df).count("Join") for df in vars(conform_all(frames(spark))).values()]
+    lazy = [plan_of(df).count("Join") for df in vars(conform_all(frames(spark), staged=False)).values()]
+    assert sum(joins) < sum(lazy) / 2
+
+
 def test_source_of_a_joined_view_reads_one_table(spark, no_broadcast):
     from guestbook.plans.origins import source_rows
 

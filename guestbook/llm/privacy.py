@@ -95,7 +95,8 @@ def _terms(line: str) -> str:
 
 
 def disclosures(docs: DataFrame) -> DataFrame:
-    """``term, disclosure``: terms with support, by how much of an entity's information they disclose at most."""
+    """``term, disclosure``: how much of an entity's information a term discloses at most, for terms with support
+    that may disclose enough to be generalised."""
     # No entity goes beyond its line.
     suspects = _lines(docs).where("line rlike '[0-9@]'").select("line").distinct()
     marked = suspects.withColumn("spans", base_spans("line")).where("size(spans) > 0")
@@ -117,9 +118,20 @@ def disclosures(docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= SUPPORT)
     )
-    together = scratch(together, "together")
-    wanted = together.select("term").distinct()
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    n_lines = lines.agg(F.approx_count_distinct("line", 0.01)).first()[0]
+    information = F.log2(F.greatest(F.lit(n_lines), F.col("n_entity") + 1) / F.col("n_entity"))
+
+    def share(n_term: str) -> Column:
+        """Mutual information of term and entity against the entity's own."""
+        return 1 + F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col(n_term))) / information
+
+    # The lines of entities alone show of most terms, all common ones among them, that they disclose too little.
+    seen = facts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_seen"))
+    together = scratch(
+        together.join(entities, "entity").join(seen, "term").where(share("n_seen") >= GENERALISE), "together"
+    )
+    wanted = together.select("term").distinct()
     counted = (
         lines.select(F.xxhash64("line").alias("line"), F.explode(F.expr(_terms("line"))).alias("term"))
         .join(wanted, "term", "left_semi")
@@ -127,15 +139,7 @@ def disclosures(docs: DataFrame) -> DataFrame:
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
     )
-    n_lines = lines.agg(F.approx_count_distinct("line", 0.01)).first()[0]
-    information = F.log2(F.greatest(F.lit(n_lines), F.col("n_entity") + 1) / F.col("n_entity"))
-    given = F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")))
-    return (
-        together.join(entities, "entity")
-        .join(counted, "term")
-        .groupBy("term")
-        .agg(F.max(1 + given / information).alias("disclosure"))
-    )
+    return together.join(counted, "term").groupBy("term").agg(F.max(share("n_term")).alias("disclosure"))
 
 
 def _revealing(docs: DataFrame) -> DataFrame:

@@ -16,8 +16,6 @@ from guestbook.session import stage, tune
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
-__all__ = ["SPACE", "WORD", "fold", "gram_hashes", "mix64", "open_table", "prepared", "scratch", "text_key", "word_hashes"]
-
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with this package's settings; texts cross to Python in batches bounded by bytes."""

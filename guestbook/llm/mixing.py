@@ -29,11 +29,6 @@ SEED = 20
 BLOCK_ROWS = 256
 
 
-def _uniform(*parts: Column | str) -> Column:
-    """A number in (0, 1) that stands for the parts."""
-    return (F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-
-
 def sized(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with the words of every document, and its place in the permutation of its source."""
     return docs.withColumns(

@@ -456,8 +456,6 @@ def shopify(t: Tables) -> dict[str, DataFrame]:
 
 # --- email marketing -----------------------------------------------------------------------
 
-_ENGAGED = ("name_first", "name_last")
-
 
 def _users(t: Tables) -> DataFrame:
     return _pick(

@@ -51,6 +51,19 @@ def test_entities_against_brute_force(spark):
     assert found(documents(spark, rows), "base") == {i: brute(t) for i, t in rows}
 
 
+def test_addresses_with_zero_parts(spark):
+    rng = random.Random(3)
+    some = ["10.0.0.1", "0.0.0.0", "00.1.2.3", "192.168.0.5", "127.0.0.1", "000.00.0.010", "1.2.3.0", "0.0.0.256", "0.00300.1.1"]
+    parts = ["0", "00", "1", "10", "100", "0255", "256", "0300", "."]
+    texts = [f"host {x}, up" for x in some] + [".".join(rng.choice(parts) for _ in range(4)) for _ in range(300)]
+    texts += ["0" * 3000 + ".0.0.1", ".".join(["0" * 3000] * 4), ".".join(["0" * 3000] * 3 + ["999"])]
+    rows = list(enumerate(texts))
+    docs = documents(spark, rows)
+    assert found(docs, "base") == {i: brute(t) for i, t in rows}
+    clean = {r["doc_id"]: r["text"] for r in sanitised(docs).collect()}
+    assert all("[IP]" in clean[i] for i in range(7)) and "[IP]" not in clean[7] + clean[8]
+
+
 def test_revealing_terms(spark):
     rng = random.Random(2)
     rows = [(i, prose(rng, 40)) for i in range(200)]

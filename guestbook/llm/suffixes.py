@@ -85,7 +85,10 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found = [_piece_anchors(data, at) for at in range(0, len(data) - LENGTH + 1, PIECE)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+    places, keys, contexts = (np.concatenate(part) for part in zip(*found, strict=True))
+    # An anchor of strings on both sides of a piece's end is found by both pieces.
+    places, once = np.unique(places, return_index=True)
+    return places, keys[once], contexts[once]
 
 
 def _piece_anchors(data: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark import cloudpickle
 
 from guestbook.llm import suffixes
 from guestbook.llm.suffixes import LENGTH, anchors, deduplicated, difference_cover
@@ -70,6 +71,25 @@ def test_pieces_give_the_same_anchors(monkeypatch):
     assert len(set(zip(places.tolist(), contexts.tolist(), strict=True))) == len(set(places.tolist()))
 
 
+def test_pieces_against_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = prose(rng, 60)
+    some = [prose(rng, 300), prose(rng, 40) + passage + prose(rng, 200), prose(rng, 100) + passage, *texts(6)]
+    monkeypatch.setattr(suffixes, "PIECE", 300)
+    cloudpickle.register_pickle_by_value(suffixes)  # workers see the small pieces too
+    try:
+        assert found(documents(spark, list(enumerate(some)))) == sorted(brute(some))
+    finally:
+        cloudpickle.unregister_pickle_by_value(suffixes)
+    places = anchors(some[0].encode())[0]
+    assert len(places) == len(set(places.tolist()))
+
+
+def test_long_texts_lose_nothing_unique(spark):
+    text = random.Random(7).randbytes(5 << 20).hex()
+    assert found(documents(spark, [(1, text)])) == [(len(text), 0, 0, hashlib.sha256(text.encode()).hexdigest())]
+
+
 def test_cover():
     for v in (7, 31, 73):
         cover = difference_cover(v)

@@ -31,13 +31,17 @@ RIDGE = 1.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|select|object)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title|iframe)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][\w:-]*+)(?P<attrs2>[^>]*+)>"
     r"|<[!?/][^>]*+>"
     r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
+#: Elements left out up to their end tags; without one only the tag is left out, so that no text is lost.
+_APART = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I) for tag in ("noscript", "template", "svg", "select", "object")
+}
 _ATTRIBUTE = re.compile(r"""([\w-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACE = re.compile(r"\s+")
 
@@ -121,6 +125,24 @@ class Page:
         return len(self.parent) - 1
 
 
+def _tokens(source: str) -> Iterator[re.Match[str]]:
+    at = 0
+    unclosed: set[str] = set()  # names without an end tag in what is left
+    while at < len(source):
+        token = _TOKEN.match(source, at)
+        at = token.end()
+        tag = (token["tag"] or token["tag2"] or "").lower()
+        if tag not in _APART or token["end"] or token["end2"] or tag in unclosed:
+            yield token
+        elif tag == "svg" and (token["attrs"] or token["attrs2"] or "").endswith("/"):
+            yield token
+        elif close := _APART[tag].search(source, at):
+            at = close.end()
+        else:
+            unclosed.add(tag)
+            yield token
+
+
 def parse(source: str | None) -> Page:
     """Scripts, styles, form choices and markup are left out; character references are decoded, white space is one space."""
     page = Page()
@@ -139,7 +161,7 @@ def parse(source: str | None) -> Page:
             page.runs.append((page.add(stack[-1][0], _TEXT, "", words, linked, stops), text))
         texts.clear()
 
-    for token in _TOKEN.finditer(source or ""):
+    for token in _tokens(source or ""):
         text = token["text"]
         if text is not None:
             texts.append((html.unescape(text), anchors > 0))

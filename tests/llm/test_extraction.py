@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
@@ -28,6 +30,29 @@ def test_parse():
     assert text_of(parse("<p>unclosed <b")) == ["unclosed <b"]
 
 
+def test_elements_left_out_end_where_they_end():
+    for tag in ("svg", "select", "title", "object", "style", "script", "template", "iframe"):
+        assert text_of(parse(f"<p>a</p><{tag}-x n=1>b</{tag}-x><p>c</p>")) == ["a", "b", "c"]
+        assert text_of(parse(f"<p>a</p><{tag} n='1'>b<i>x</i></{tag} ><p>c</p>")) == ["a", "c"]
+        assert text_of(parse(f"<p>a</p><{tag.upper()}>b</{tag} x><p>c</p>")) == ["a", "c"]
+    assert text_of(parse("<svg class=i /><p>a</p><svg/><p>b</p><svg title='>'/><p>c</p><svg><path/>x</svg><p>d</p>")) == list("abcd")
+    for tag in ("svg", "select", "noscript", "template", "object"):
+        assert text_of(parse(f"<p>a</p><{tag}><p>b</p>")) == ["a", "b"]
+    assert text_of(parse("<p>a</p><style>p{}<p>b</p>")) == ["a"]
+    assert text_of(parse("<svg><p>a</p>" * 20_000)) == ["a"] * 20_000
+
+
+def test_custom_elements_before_the_article(model):
+    rng = random.Random(6)
+    article = "".join(f"<p>{prose(rng, 60)}</p>" for _ in range(4))
+    page = "<body>{}<article>" + article + "</article></body>"
+    want = text_of(parse(page.format("")))
+    for before in ("<svg viewBox='0 0 1 1'/>", "<svg-icon name=x></svg-icon>", "<title-bar></title-bar>", "<select-menu/>"):
+        got = parse(page.format(before))
+        belief = model.marginals(got)
+        assert [t for node, t in got.runs if belief[node] > 0] == want
+
+
 def test_marginals_against_enumeration():
     page = parse("<div><p>a</p><ul><li>b</li></ul></div>")
     rng = np.random.default_rng(1)

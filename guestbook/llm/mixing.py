@@ -152,26 +152,28 @@ def _planned(docs: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
     return rows, scratch(_plan(rows, scratch(targets(rows), "targets")), "plan")
 
 
-def taken(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def taken(docs: DataFrame, id_column: str = "doc_id", shards: int = SHARDS) -> DataFrame:
     """What the mix takes of every document.
 
-    Returns ``id, key, source, size, source_size, target, taken, passes, extra``: ``taken`` words, repeats
-    counted, are ``passes`` whole copies and ``extra`` words more. The document at which the target is reached is
+    Returns ``id, key, source, size, source_size, target, taken, passes, extra, shards``: ``taken`` words, summed
+    over the copies that the tree deals to shards, are ``passes`` whole copies and ``extra`` words more; ``shards`` has
+    the shard of each copy in turn. The document at which the target is reached is
     cut, so that a source's words meet its rounded target exactly. Null and empty texts have no words and are
     taken with none; a null source is a source of its own, the last; equal rows are separate documents; an
     empty table gives no rows.
     """
     rows, plan = _planned(docs, id_column)
-    return _allotted(rows, plan).select(
+    return _dealt(rows, plan, shards).select(
         F.col("__id").alias("id"),
         F.col("__key").alias("key"),
         F.col("__source").alias("source"),
         F.col("__size").alias("size"),
         "__plan.source_size",
         "__plan.target",
-        (F.col("__plan.passes") * F.col("__size") + F.col("__extra")).alias("taken"),
+        F.expr("aggregate(filter(__copies, c -> c.shard is not null), 0L, (n, c) -> n + c.words)").alias("taken"),
         "__plan.passes",
         F.col("__extra").alias("extra"),
+        F.col("__copies.shard").alias("shards"),
     )
 
 
@@ -248,11 +250,12 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     )
 
 
-def _copies(rows: DataFrame, plan: DataFrame, shards: int) -> DataFrame:
-    """A row for each copy taken, with ``__copy``: its number, words, draw, shard and place in the shard."""
+def _dealt(rows: DataFrame, plan: DataFrame, shards: int) -> DataFrame:
+    """``rows`` as allotted, with ``__copies``: number, draw, words and shard of each copy taken."""
     each = """filter(transform(sequence(0, __plan.passes), c -> named_struct(
                 'copy', c, 'draw', c * __plan.n_blocks + __block, 'words', if(c < __plan.passes, __size, __extra))),
               c -> c.words > 0)"""
+    shard = "filter(__ranges, r -> r.start <= c.draw and c.draw < r.stop)[0].shard"
     quotas = plan.select(
         F.col("__of").alias("source"),
         (F.col("passes") * F.col("n_blocks") + F.col("last_block") + 1).cast("long").alias("quota"),
@@ -264,11 +267,21 @@ def _copies(rows: DataFrame, plan: DataFrame, shards: int) -> DataFrame:
     )
     return (
         _allotted(rows, plan)
-        .withColumn("__copy", F.explode(F.expr(each)))
-        .join(ranges, F.col("__source").eqNullSafe(F.col("__of")))
+        .join(ranges, F.col("__source").eqNullSafe(F.col("__of")), "left")
         .withColumn(
-            "__shard", F.expr("filter(__ranges, r -> r.start <= __copy.draw and __copy.draw < r.stop)[0].shard")
+            "__copies",
+            F.expr(f"transform({each}, c -> named_struct('copy', c.copy, 'draw', c.draw, 'words', c.words, 'shard', {shard}))"),
         )
+        .drop("__of", "__ranges")
+    )
+
+
+def _copies(rows: DataFrame, plan: DataFrame, shards: int) -> DataFrame:
+    """A row for each copy taken, with ``__copy`` (its number, draw, words and shard), ``__shard`` and ``__position``."""
+    return (
+        _dealt(rows, plan, shards)
+        .withColumn("__copy", F.explode("__copies"))
+        .withColumn("__shard", F.col("__copy.shard"))
         .withColumn("__position", F.xxhash64(F.lit(SEED + 1), "__shard", "__copy.copy", "__id", "__key"))
     )
 

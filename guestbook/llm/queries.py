@@ -123,7 +123,14 @@ from marked group by rid, doc_id
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = open_table(spark, sf_dir, "documents")
     return mixing.taken(docs).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "passes", "extra"
+        F.col("id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        "passes",
+        "extra",
+        F.array_join("shards", ",").alias("shards"),
     )
 
 

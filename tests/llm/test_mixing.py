@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from guestbook.llm import mixing
+from guestbook.llm import mixing, queries
 from guestbook.llm.mixing import mix, shard_quotas, taken
 from tests.llm.conftest import ODD, documents
 from tests.llm.words import prose
@@ -69,6 +69,25 @@ def test_mix_has_the_words_taken(spark, monkeypatch):
     assert all(len(s) == 1 for s in shards.values())
 
 
+def test_query_deals_what_the_mix_deals(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 4)
+    rows = corpus(3)
+    docs = documents(spark, [*rows, rows[5], rows[5]])  # equal rows are separate documents
+    monkeypatch.setattr(queries, "open_table", lambda *_: docs)
+    got = queries.op10_mixing(spark, "").collect()
+    assert len(got) == len(rows) + 2 and len({s for r in got for s in r["shards"].split(",")} - {""}) == mixing.SHARDS
+    dealt, words = defaultdict(list), Counter()
+    for r in mix(docs).orderBy("mix_copy").collect():
+        dealt[r["doc_id"]].append(str(r["mix_shard"]))
+        words[r["doc_id"]] += r["mix_words"]
+    listed, summed = defaultdict(list), Counter()
+    for r in got:
+        listed[r["doc_id"]] += filter(None, r["shards"].split(","))
+        summed[r["doc_id"]] += r["taken"]
+    assert {i: sorted(s) for i, s in listed.items() if s} == {i: sorted(s) for i, s in dealt.items()}
+    assert {i: n for i, n in summed.items() if n} == words
+
+
 def test_quotas_are_used_up(spark):
     quotas = [("a", 1000), ("b", 37), ("c", 1), (None, 5), ("big", 300_000)]
     frame = spark.createDataFrame(quotas, "source string, quota long")

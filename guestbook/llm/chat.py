@@ -17,8 +17,10 @@ from guestbook.llm.common import scratch
 
 #: Turn numbers that are summed, and rendered, together.
 BLOCK = 256
-#: Beyond so many rows in a block (equal turn numbers, then) its turns are rendered apart.
+#: Beyond so many rows in a block (equal turn numbers, then) it is rendered in parts of ``BLOCK`` rows.
 ROWS = 1024
+#: Characters of a text by which rows are dealt before they are sorted.
+LEAD = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 _SUMS = ["s0", "s1", "s2", "s3"]
 
@@ -82,12 +84,42 @@ def maximal(rows: DataFrame) -> DataFrame:
     return whole.join(begun, key, "left_anti").select("conv")
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``part``: runs of ``BLOCK`` rows of their block in the order of turn, role and text.
+
+    Rows are dealt by ranges of that order and numbered where they lie; the rows of the ranges before are added.
+    """
+    placed = rows.repartitionByRange("conv", "block", "turn", "role", F.substring("text", 1, LEAD))
+    placed = scratch(placed.withColumn("range", F.spark_partition_id()), "crowded-turns")
+    before = Window.partitionBy("conv", "block").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("conv", "block", "range")
+        .agg(F.count("*").alias("size"))
+        .select(
+            F.col("conv").alias("__c"),
+            F.col("block").alias("__b"),
+            F.col("range").alias("__r"),
+            F.coalesce(F.sum("size").over(before), F.lit(0)).alias("__before"),
+        )
+    )
+    inside = Window.partitionBy("conv", "block", "range").orderBy("turn", "role", "text")
+    at = F.floor((F.col("__i") + F.col("__before") - 1) / BLOCK).cast("string")
+    same = F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b")) & (F.col("range") == F.col("__r"))
+    return (
+        placed.withColumn("__i", F.row_number().over(inside))
+        .join(offsets, same)
+        .withColumn("part", F.concat_ws(":", "block", F.lpad(at, 12, "0")))
+        .select(*rows.columns, "part")
+    )
+
+
 def rendered(conversations: DataFrame) -> DataFrame:
     """Maximal conversations as chat text.
 
     Returns ``conv_id, part, first_turn, n_turns, text``: a row for each ``BLOCK`` turn numbers of a conversation, so that
     long ones aren't gathered whole; parts sorted by ``first_turn`` and ``part`` and put together are the
-    conversation. Turns of one number are sorted by role and text. Rows that repeat count once; a null role is
+    conversation. Turns of one number are sorted by role and text. A block of more than ``ROWS`` distinct rows has a row
+    for each ``BLOCK`` of them in that order, numbered in ``part``. Rows that repeat count once; a null role is
     rendered as an empty one, a null text as no text, and both differ from empty ones when conversations are compared;
     rows without ``conv_id`` are one conversation; an empty table gives no rows.
     """
@@ -101,13 +133,14 @@ def rendered(conversations: DataFrame) -> DataFrame:
         .withColumn("block", _block())
         .dropDuplicates(["conv", "turn", *_SUMS])
     )
-    crowded = (
-        own.groupBy(F.col("conv").alias("__c"), F.col("block").alias("__b")).agg(F.count("*").alias("rows")).where(F.col("rows") > ROWS)
+    crowded = scratch(
+        own.groupBy(F.col("conv").alias("__c"), F.col("block").alias("__b")).agg(F.count("*").alias("rows")).where(F.col("rows") > ROWS),
+        "crowded-blocks",
     )
-    apart = F.concat_ws(":", "turn", F.pmod("s0", F.ceil(F.col("rows") / BLOCK)))
-    parts = own.join(
-        crowded, F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b")), "left"
-    ).withColumn("part", F.concat_ws(":", "block", F.when(F.col("rows").isNotNull(), apart)))
+    parts = own.withColumn("part", F.col("block").cast("string"))
+    if not crowded.isEmpty():
+        among = F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b"))
+        parts = parts.join(crowded, among, "left_anti").unionByName(_ranked(own.join(crowded, among, "left_semi")))
     return (
         parts.groupBy("conv", "part")
         .agg(

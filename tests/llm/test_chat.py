@@ -67,5 +67,20 @@ def test_long_and_crowded_conversations(spark, monkeypatch):
     assert rendered(conversations(spark, crowded)).count() > 1
 
 
+def test_crowded_blocks_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(chat, "ROWS", 100)
+    rng = random.Random(4)
+    same = "a long beginning " * 80
+    rows = [(9, 5, rng.choice(["user", "assistant", None]), f"{rng.random()}") for _ in range(900)]
+    rows += [(9, i % 300, "user", f"{same}{i}") for i in range(1500)] + [(None, None, "user", f"t{i}") for i in range(700)]
+    rows += [(None, 0, "u", "x")] + [(8, i, "user", f"t{i}") for i in range(300)]
+    rng.shuffle(rows)
+    frame = conversations(spark, rows)
+    assert found(frame) == brute(rows)
+    got = rendered(frame.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, rendered(frame).collect()))
+    assert max(r["n_turns"] for r in got) == chat.BLOCK and {r["part"] for r in got if r["conv_id"] == 8} == {"0:000000000000", "1"}
+
+
 def test_empty(spark):
     assert rendered(conversations(spark, [])).count() == 0

@@ -12,11 +12,14 @@ from guestbook.llm import (
     classifier,
     decontamination,
     extraction,
+    interactions,
     jaccard,
     linespread,
     mixing,
     outliers,
     privacy,
+    search,
+    secrets,
     suffixes,
 )
 from guestbook.llm.common import open_table
@@ -214,3 +217,88 @@ def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.deduplicated(open_table(spark, sf_dir, "documents"))
     spans = (F.size("cuts") / 2).cast("long").alias("n_spans")
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", spans, "kept_sha256")
+
+
+@query
+def op11_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(open_table(spark, sf_dir, "documents"), open_table(spark, sf_dir, "labels")).drop("filter")
+
+
+SQL["op11_interactions"] = r"""
+with recursive doc as (
+  select row_number() over () as rid, doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+label as (
+  select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels where doc_id is not null group by doc_id),
+fails as (
+  select rid, part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         (case when len(w) < 100 then 'A' else '' end)
+         || (case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end)
+         || (case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) then 'C' else '' end)
+         || (case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end)
+         || (case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end) as failed
+  from doc left join label using (doc_id)),
+orders as (
+  select '' as o union all
+  select o || f from orders, unnest(['A', 'B', 'C', 'D', 'E']) as t(f) where not contains(o, f)),
+step as (
+  select o as filter_order, cast(i as int) as step, o[i : i] as filter, o[1 : i - 1] as earlier
+  from orders, unnest(range(1, 6)) as t(i) where length(o) = 5),
+profile as (select part, failed, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic from fails group by 1, 2),
+met as (
+  select part, filter_order, step, filter, n, good, toxic, failed = filter as alone, contains(failed, filter) as here,
+         len(list_intersect(string_split(failed, ''), string_split(earlier, ''))) > 0 and earlier <> '' and failed <> '' as gone
+  from profile, step),
+counted as (
+  select part, filter_order, step, filter,
+         coalesce(sum(n) filter (where not gone and not here), 0) as kept, coalesce(sum(n) filter (where here and not gone), 0) as removed,
+         coalesce(sum(n) filter (where here and gone), 0) as redundant, coalesce(sum(n) filter (where alone), 0) as unique_fails,
+         coalesce(sum(good) filter (where here and not gone), 0) as good_lost,
+         coalesce(sum(toxic) filter (where here and not gone), 0) as toxic_lost
+  from met group by 1, 2, 3, 4)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+       cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, filter) as bigint) as shapley
+from counted
+"""
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.ranked(open_table(spark, sf_dir, "benchmark"), open_table(spark, sf_dir, "documents"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+SQL["op12_search"] = r"""
+with doc as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from documents),
+item as (
+  select row_number() over () as iid, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from benchmark),
+total as (select count(*) as docs, sum(len(t)) as terms from doc where len(t) > 0),
+wanted as (select iid, item_id, term, count(*) as times from item, unnest(t) as u(term) group by 1, 2, 3),
+held as (
+  select rid, doc_id, len(t) as n, term, count(*) as tf from doc, unnest(t) as u(term)
+  where term in (select term from wanted) group by 1, 2, 3, 4),
+known as (select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w from held, total group by term, docs),
+scored as (
+  select iid, item_id, rid, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // cast(terms as bigint))))) as score
+  from wanted join known using (term) join held using (term), total group by 1, 2, 3, 4),
+placed as (select *, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank from scored where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, cast(score as bigint) as score from placed where rank <= 10
+"""
+
+
+@query
+def op13_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(open_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.KINDS]
+    base = F.sha2(secrets.listed("base"), 256).alias("base_sha256")
+    return found.select(F.col("id").alias("doc_id"), *counts, base, secrets.listed("spans").alias("spans"))

@@ -9,6 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 
 from guestbook.operators.conform import conform, conform_each, same_names, union_all
+from guestbook.operators.dictionary import Dictionary
 from guestbook.plans import addresses as places
 from guestbook.plans import events as occasions
 from guestbook.plans import feed, marketing, older, orders as sales, origins, people as persons
@@ -192,16 +193,17 @@ def conform_all(t: Mapping[str, DataFrame], staged: bool = True) -> Conformed:
     return Conformed(people, addresses, visits, lines, origin.distinct(), log)
 
 
-def build(subjects: Conformed, staged: bool = True) -> dict[str, DataFrame]:
+def build(subjects: Conformed, staged: bool = True, sources: Dictionary | None = None) -> dict[str, DataFrame]:
     """The thirteen tables, best of staged subjects.
 
-    ``staged`` writes the tables that other tables read once.
+    ``staged`` writes the tables that other tables read once. ``sources`` is the book of all loads' sources
+    (``origins.source_book``), which this load extends; without it they are numbered for this load alone.
     """
     keep = stage if staged else (lambda df, label: df)
     book = keep(places.address_book([subjects.addresses]), "address_book")
     identified = persons.identify(subjects.people)
     visits = occasions.event_visits(subjects.visits)
-    source_system = origins.source_systems(subjects.origins)
+    source_system = sources.extend(subjects.origins) if sources else origins.source_systems(subjects.origins)
     orders = keep(sales.orders(subjects.lines, source_system, book), "orders")
     actions = keep(marketing.keyed_actions(subjects.engagement), "actions")
     return {

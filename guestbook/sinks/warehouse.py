@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from guestbook.operators.clean import empty_to_null
 from guestbook.session import stage
 from guestbook.sinks.files import write_json
+from guestbook.sinks.manifest import Published, State
 
 
 @dataclass(frozen=True)
@@ -71,3 +72,19 @@ def write_all(
             full_refresh(df, name, warehouse)
         written.append(name)
     return written
+
+
+def publish_all(tables: Mapping[str, DataFrame], published: Published, on_empty: str = "write") -> State:
+    """Write every table aside and publish them together; readers see all of them or those of before.
+
+    Whatever fails, be it the last table, leaves what was published. ``on_empty`` says what becomes of an empty
+    table: ``write`` publishes it, ``skip`` leaves the one that is there. Empty text arrives as null.
+    """
+    if on_empty not in ("skip", "write"):
+        raise ValueError(f"on_empty: {on_empty}")
+    state = published.state()
+    folders = {name: published.write(empty_to_null(df), name) for name, df in tables.items()}
+    if on_empty == "skip":
+        read = published.spark.read
+        folders = {n: f for n, f in folders.items() if not read.schema(tables[n].schema).parquet(published.path(f)).isEmpty()}
+    return published.publish(state, folders)

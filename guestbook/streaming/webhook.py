@@ -1,10 +1,11 @@
-"""Landing of webhook messages: every message received, under a folder of its event and day."""
+"""Landing of webhook messages: every message received, batch by batch, apart from those that can't be used."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from guestbook.operators.dedupe import keep_one
+from guestbook.streaming.incremental import BATCH
 
 # The fields read from a message body.
 BODY = "eventName string, dataFields struct<messageId: string>"
@@ -39,29 +40,30 @@ def parse(messages: DataFrame, body: str = "body", at: str = "received_at") -> D
 
 
 def land_messages(messages: DataFrame, out: str, checkpoint: str) -> None:
-    """Stream parsed messages to ``fault`` / ``event_name`` / ``event_date`` folders.
+    """Stream parsed messages to a folder for each batch and ``fault`` in it.
 
-    Nothing is dropped, however late, so no state is kept and nothing is shuffled: every task of a batch
-    writes what it has read. Repeats are settled by ``latest_messages`` when the landing is read.
+    Nothing is dropped, however late, so no state is kept and nothing is shuffled: every task of a batch writes what it has
+    read, a file for each fault it met and not one for each event and day. A batch that is repeated after a failure replaces
+    its folder. Repeats of a message are settled by :mod:`guestbook.streaming.compaction`, or by ``latest_messages``.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(FAULT)
+        rows.parquet(f"{out}/{BATCH}={number}")
+
     query = (
-        messages.writeStream.format("parquet")
-        .partitionBy(FAULT, "event_name", "event_date")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
 
 
 def landed_messages(spark: SparkSession, out: str) -> DataFrame:
     """The messages that can be used; the folders of the others aren't opened."""
-    return spark.read.parquet(out).where(F.col(FAULT) == NO_FAULT).drop(FAULT)
+    return spark.read.parquet(out).where(F.col(FAULT) == NO_FAULT).drop(FAULT, BATCH)
 
 
 def faulty_messages(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out).where(F.col(FAULT) != NO_FAULT)
+    return spark.read.parquet(out).where(F.col(FAULT) != NO_FAULT).drop(BATCH)
 
 
 def latest_messages(landed: DataFrame, tie: Column | None = None) -> DataFrame:

@@ -236,4 +236,4 @@ def test_webhook_last_copy_wins(spark, tmp_path):
     assert rows(faults) == [("no message id", 1), ("unreadable", 1)]
     last = latest_messages(landed_messages(spark, out)).select("event_name", "message_id", F.get_json_object("body", "$.dataFields.x"))
     assert rows(last) == [("click", "m1", "2"), ("open", "m1", "3")]
-    assert (Path(out) / "fault=none" / "event_name=click" / "event_date=2024-03-07").is_dir()
+    assert (Path(out) / "batch_id=0" / "fault=none").is_dir()

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from guestbook.operators.audit import with_audit
 from guestbook.operators.conform import union_all
+from guestbook.operators.joins import join_on
 from guestbook.operators.snapshots import empty_like
 from guestbook.plans.landing import land_database, load_trusted, raw_to_trusted
+from guestbook.plans.origins import source_book
 from guestbook.session import fresh_dir
-from guestbook.sinks.warehouse import FolderTarget, write_all
+from guestbook.sinks.manifest import Published
+from guestbook.sinks.warehouse import FolderTarget, publish_all, write_all
 from guestbook.sources.files import detect_format, find_snapshot, load_tables, read_snapshot
 from guestbook.sources.mapping import MappedTable, load_mapping, mapped_tables, target_schema, to_targets
 from workload.quality import email_sql, phone_sql
@@ -172,3 +176,69 @@ def warehouse_targets(t: Tables) -> DataFrame:
         for name, df in frames.items()
     ]
     return rows[0].unionByName(rows[1])
+
+
+@query(
+    """with first as (select distinct c_mktsegment as platform, 'desk ' || (c_custkey % 1000) as name from {customer} where c_nationkey % 2 = 0),
+    every as (select distinct c_mktsegment as platform, 'desk ' || (c_custkey % 1000) as name from {customer}),
+    one as (select row_number() over (order by platform, name) as id, * from first),
+    two as (select (select count(*) from one) + row_number() over (order by platform, name) as id, *
+      from (select * from every except select * from first))
+    select 1 as load, cast(id as int) as id, name, platform, customers from (select * from one) join (
+      select c_mktsegment as platform, 'desk ' || (c_custkey % 1000) as name, count(*) as customers from {customer} where c_nationkey % 2 = 0 group by 1, 2)
+      using (platform, name)
+    union all select 2, cast(id as int), name, platform, customers from (select * from one union all select * from two) join (
+      select c_mktsegment as platform, 'desk ' || (c_custkey % 1000) as name, count(*) as customers from {customer} group by 1, 2)
+      using (platform, name)"""
+)
+def stable_source_ids(t: Tables) -> DataFrame:
+    """Customers counted by source in two loads; the second shows more sources, and those of the first keep their ids."""
+    book = source_book(t.spark, fresh_dir(t.spark, "sources"))
+    desk = F.concat(F.lit("desk "), (F.col("c_custkey") % 1000).cast("string"))
+    seen = t.customer.select(F.col("c_mktsegment").alias("platform"), desk.alias("name"), F.lit(None).cast("string").alias("url"), "c_nationkey")
+    loads = []
+    for load, rows in ((1, seen.where("c_nationkey % 2 = 0")), (2, seen)):
+        known = book.extend(rows)
+        counted = rows.groupBy("platform", "name").agg(F.count("*").alias("customers"))
+        loads.append(join_on(known, counted, equal=["platform", "name"]).select(F.lit(load).alias("load"), "id", "name", "platform", "customers"))
+    return loads[0].unionByName(loads[1])
+
+
+@query(
+    " union all ".join(
+        f"select '{n}' as table_name, count(*) as rows, cast(sum({k}) as bigint) as keys from {{{n}}}"
+        for n, k in [("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey"), ("orders", "o_orderkey"),
+                     ("lineitem", "l_orderkey"), ("events", "event_id"), ("nation", "n_nationkey"), ("region", "r_regionkey")]
+    )
+    + """ union all select 'buyers', count(*), cast(sum(k) as bigint) from (select distinct o_custkey as k from {orders})
+    union all select 'sold', count(*), cast(sum(k) as bigint) from (select distinct l_partkey as k from {lineitem})
+    union all select 'sellers', count(*), cast(sum(k) as bigint) from (select distinct l_suppkey as k from {lineitem})
+    union all select 'users', count(*), cast(sum(k) as bigint) from (select distinct user_id as k from {events})
+    union all select 'returned', count(*), cast(sum(l_orderkey) as bigint) from {lineitem} where l_returnflag = 'R'"""
+)
+def published_together(t: Tables) -> DataFrame:
+    """Thirteen tables published at once. The next time the seventh fails, and readers go on seeing the first thirteen."""
+    keyed = {
+        name: (getattr(t, name), F.col(key))
+        for name, key in {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+                          "lineitem": "l_orderkey", "events": "event_id", "nation": "n_nationkey", "region": "r_regionkey"}.items()
+    }
+    keyed["returned"] = (t.lineitem.where("l_returnflag = 'R'"), F.col("l_orderkey"))
+    tables = {name: df.select(key.cast("bigint").alias("key")) for name, (df, key) in keyed.items()}
+    for name, df, key in (("buyers", t.orders, "o_custkey"), ("sold", t.lineitem, "l_partkey"), ("sellers", t.lineitem, "l_suppkey"), ("users", t.events, "user_id")):
+        tables[name] = df.select(F.col(key).alias("key")).distinct()
+    published = Published(t.spark, fresh_dir(t.spark, "published"))
+    publish_all(tables, published)
+    later = {name: df.where("key > 0") for name, df in tables.items()}
+    seventh = list(later)[6]
+    later[seventh] = later[seventh].where(F.raise_error(F.lit("broken off")).isNull())
+    try:
+        publish_all(later, published)
+    except Exception as error:  # noqa: BLE001
+        assert "broken off" in str(error)
+    state = published.state()
+    parts = [
+        published.read([name], "key bigint", state).agg(F.count("*").alias("rows"), F.sum("key").alias("keys")).select(F.lit(name).alias("table_name"), "rows", "keys")
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)

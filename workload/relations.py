@@ -14,7 +14,9 @@ from guestbook.operators.conform import conform
 from guestbook.session import fresh_dir
 from guestbook.sinks.files import land, stripped_json, write_json, write_parquet, write_stripped_json
 from guestbook.sinks.warehouse import FolderTarget, full_refresh
+from guestbook.streaming.compaction import compact, compacted
 from guestbook.streaming.incremental import new_files, run_once
+from guestbook.streaming.ledger import Intake
 from guestbook.sources.files import _file_system
 from guestbook.streaming.webhook import faulty_messages, land_messages, landed_messages, latest_messages, parse
 from workload.recipes import ACTIONS, CAMPAIGNS, CRM, LISTS, UNBLANKED, VENDOR, crm, vendor
@@ -382,18 +384,30 @@ def _date_files(t: Tables, path: str, day: dt.datetime) -> None:
 
 @query("select event_id, user_id, event_type, value from {events} where event_type <> 'error'")
 def incremental_files(t: Tables) -> DataFrame:
-    """Four runs over one folder: the first half, nothing new, the rest in files dated a month before, nothing new."""
+    """Five runs by the ledger: the first half; nothing new; the rest, in files dated a month before, where one run fails and
+    the next takes them; nothing new."""
     schema = t.events.schema
-    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("intake", "increment", "progress"))
+    source, store = (fresh_dir(t.spark, x) for x in ("intake", "increment"))
+    intake = Intake(t.spark, f"{source}/part=*", store, schema)
+
+    def good(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("event_type") != "error")
+
+    def broken(rows: DataFrame) -> DataFrame:
+        return rows.where(F.raise_error(F.lit("broken off")).isNull())
+
     for half in (0, 1):
         part = f"{source}/part={half}"
         t.events.where(F.col("event_id") % 2 == half).write.parquet(part)
         if half:
             _date_files(t, part, dt.datetime.now() - dt.timedelta(days=30))
+            try:
+                intake.run(broken)
+            except Exception as error:  # noqa: BLE001
+                assert "broken off" in str(error)
         for _ in range(2):
-            stream = new_files(t.spark, f"{source}/part=*", schema)
-            run_once(stream, out, checkpoint, lambda batch: batch.where(F.col("event_type") != "error"))
-    return t.spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+            intake.run(good)
+    return intake.rows().select("event_id", "user_id", "event_type", "value")
 
 
 MESSAGE_ID = "concat(cast(user_id as varchar), '-', cast(regexp_extract(props, '([0-9]+)', 1) as varchar))"
@@ -411,7 +425,8 @@ MESSAGE_ID = "concat(cast(user_id as varchar), '-', cast(regexp_extract(props, '
 def webhook_landing(t: Tables) -> DataFrame:
     """Message bodies landed in three runs, the latest days first, each twice; every tenth is malformed.
 
-    All are landed, however late. The last copy of a good message of a day wins, the others are counted by body.
+    All are landed, however late, and compacted after each run: the last copy of a good message of a day wins, and is read
+    as it stands. The malformed are counted by body.
     """
     number = F.get_json_object("props", "$.k")
     good = F.to_json(
@@ -430,17 +445,15 @@ def webhook_landing(t: Tables) -> DataFrame:
         .otherwise(good)
     )
     sent = t.events.select(body.alias("body"), F.col("ts").cast("timestamp").alias("received_at"))
-    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("sent", "webhook", "progress"))
+    source, out, checkpoint, store = (fresh_dir(t.spark, x) for x in ("sent", "webhook", "progress", "compacted"))
     third = F.floor((F.dayofyear("received_at") - 1) / 11)
     for run in (2, 0, 1):
         part = sent.where(third == run if run else third.isNull() | ~third.isin(1, 2))
         part.union(part).write.mode("append").parquet(source)
         land_messages(parse(new_files(t.spark, source, sent.schema)), out, checkpoint)
-    landed = landed_messages(t.spark, out)
+        compact(t.spark, out, store)
     names = ["event_name", "message_id", "event_date"]
-    last = latest_messages(landed).select(*names, "received_at")
-    copies = landed.groupBy(*names).agg(F.count("*").alias("copies"))
-    good_rows = join_on(last, copies, equal=names).select(F.lit("none").alias("fault"), *names, "copies", "received_at")
+    good_rows = compacted(t.spark, store).select(F.lit("none").alias("fault"), *names, "copies", "received_at")
     bad = (
         faulty_messages(t.spark, out)
         .withColumn("message_id", F.regexp_extract("body", "([0-9]+)}?$", 1))
@@ -455,3 +468,31 @@ def webhook_landing(t: Tables) -> DataFrame:
         "copies",
         F.date_format("received_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("received_at"),
     )
+
+
+@query(
+    f"""select event_type as event_name, {MESSAGE_ID} as message_id, strftime(ts, '%Y-%m-%d') as event_date,
+      max(strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) as received_at from {{events}} group by 1, 2, 3"""
+)
+def last_messages(t: Tables) -> DataFrame:
+    """The last copy of each message of a day, ranked straight from a landing that isn't compacted."""
+    number = F.get_json_object("props", "$.k")
+    fields = F.struct(F.concat_ws("-", F.col("user_id").cast("string"), number).alias("messageId"))
+    body = F.to_json(F.struct(F.col("event_type").alias("eventName"), fields.alias("dataFields")))
+    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("sent", "webhook", "progress"))
+    sent = t.events.select(body.alias("body"), F.col("ts").cast("timestamp").alias("received_at"))
+    sent.write.parquet(source)
+    land_messages(parse(new_files(t.spark, source, sent.schema)), out, checkpoint)
+    last = latest_messages(landed_messages(t.spark, out))
+    day = F.date_format("event_date", "yyyy-MM-dd").alias("event_date")
+    return last.select("event_name", "message_id", day, F.date_format("received_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("received_at"))
+
+
+@query("select event_id, user_id, event_type from {events} where event_type <> 'error'")
+def streamed_files(t: Tables) -> DataFrame:
+    """The same intake by a stream, whose checkpoint remembers the files."""
+    source, out, checkpoint = (fresh_dir(t.spark, x) for x in ("intake", "increment", "progress"))
+    t.events.write.parquet(source)
+    for _ in range(2):
+        run_once(new_files(t.spark, source, t.events.schema), out, checkpoint, lambda batch: batch.where(F.col("event_type") != "error"))
+    return t.spark.read.parquet(out).select("event_id", "user_id", "event_type")

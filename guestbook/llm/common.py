@@ -43,6 +43,18 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each drawn out until it isn't a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 

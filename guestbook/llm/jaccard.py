@@ -13,16 +13,18 @@ shingles: if fewer of these are long than a linked set must share, that one occu
 longest on average, as those of the text are that all copies come from; then the others, without those that
 found one. Within a star all are linked through its centre, so no further pair is needed there. What the triangle
 inequality of the Jaccard distance leaves about a star is compared by the shingles in which a set departs from the
-centre, of which linked sets share many, and only pairs that share one of their rarest are probed.
+centre, of which linked sets share many, and only pairs that share one of their rarest are probed. Sets about no star
+are compared by the rarest of all their shingles.
 
 Equal sets are one node, so copies never meet as pairs. What is left to chance is the order of the shingles'
-64-bit hashes: that a linked pair shares no short list has a chance under exp(-SAMPLE * (0.75 - LONG_SHARE)).
+64-bit hashes: that a linked pair shares no short list has a chance under exp(-SAMPLE * (0.75 - LONG_SHARE)). ``sample=None``
+looks at all lists and leaves nothing to it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from guestbook.llm.common import SPACE, gram_hashes, rows_of, scratch, signed, text_key, word_hashes
+from guestbook.llm.common import SPACE, gram_hashes, rows_of, scratch, signed, text_key, unused, word_hashes
 from guestbook.llm.components import components
 
 SHINGLE = 5
@@ -45,6 +47,8 @@ LEAST = 0.35
 LONG_SHARE = 0.45
 #: Rounds of stars; sets without one afterwards are centres themselves.
 ROUNDS = 3
+#: Sizes of sets up to this many times each other are of one band.
+BAND = 1.05
 WORD = re.compile(rb"[^" + SPACE.encode() + rb"]+")
 
 
@@ -56,23 +60,27 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(words), min(SHINGLE, len(words))))
 
 
-def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for text in batch["text"]:
-            found = shingles(text)
-            n = len(found)
-            sample = found if n <= SAMPLE else found[: np.searchsorted(found, np.uint64(int(SAMPLE / n * 2**64)))]
-            out.append((xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63, n, signed(sample)))
-        marks = pd.DataFrame(out, columns=["sid", "n", "sample"])
-        yield pd.concat([batch[["id", "key"]].reset_index(drop=True), marks], axis=1)
+def _marked(most: int | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                found = shingles(text)
+                n = len(found)
+                whole = most is None or n <= most
+                sample = found if whole else found[: np.searchsorted(found, np.uint64(int(most / n * 2**64)))]
+                out.append((xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63, n, signed(sample)))
+            marks = pd.DataFrame(out, columns=["sid", "n", "sample"])
+            yield pd.concat([batch[["id", "key"]].reset_index(drop=True), marks], axis=1)
 
+    return marked
 
-def marks(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+
+def marks(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAMPLE) -> DataFrame:
     """``id, key, sid, n, sample``: the set of every document (``sid``), its size, and the lists it stands in."""
     ids = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_key(F.col("text")).alias("key"), "text")
-    return rows.mapInPandas(_marked, f"id {ids}, key binary, sid long, n long, sample array<long>")
+    return rows.mapInPandas(_marked(sample), f"id {ids}, key binary, sid long, n long, sample array<long>")
 
 
 def _probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,6 +269,43 @@ def _around_hubs(near: DataFrame, texts: DataFrame, links: DataFrame) -> DataFra
     return links.unionByName(probed(rest, texts).where("linked").select("a", "b"))
 
 
+def _by_rarest(texts: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of the sets of ``texts`` that share one of their rarest shingles, all pairs that are linked among them.
+
+    Of two linked sets so many shingles are shared that in any order one of them comes early in both: by the time all but
+    as many, less one, have passed. In the order of rarity these are the shingles that a set has almost alone; what a
+    large family has in common comes late in all its sets, unless they differ so little that they are linked with one centre. How many must
+    be shared depends on both sizes, so sets meet by ``(shingle, size band, size band)`` and pass no more shingles than that band asks.
+    """
+    every = scratch(texts.mapInPandas(_all_lists, "sid long, n long, token long"), "centre-shingles")
+    common = every.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    rarest = Window.partitionBy("sid").orderBy("held", "token")  # a set's shingles at most
+    shared = every.join(common, "token").withColumn("rank", F.row_number().over(rarest))
+    own = shared.groupBy("sid").agg(F.count("*").alias("shared"))  # those of the set alone come before all others
+    shared = shared.join(own, "sid").withColumn("rank", F.col("rank") + F.col("n") - F.col("shared"))
+
+    def band(n: str) -> str:
+        return f"floor(log({n}) / log({BAND}))"
+
+    share = PERCENT / (100 + PERCENT)
+    met = (
+        shared.where(f"rank <= n - ceil({PERCENT / 100} * n - 1e-6) + 1")
+        .withColumn("band", F.expr(band("n")))
+        .withColumn("other", F.explode(F.expr(f"sequence({band(f'n * {PERCENT / 100} * (1 - 1e-9)')}, {band(f'n * {100 / PERCENT} * (1 + 1e-9)')})")))
+        .where(f"rank <= n - ceil({share} * (n + pow({BAND}, other) * (1 - 1e-9)) - 1e-6) + 1")
+        .select("token", "sid", "n", "rank", "band", "other")
+    )
+    met = scratch(met, "rarest-shingles")
+    left = met.select("token", "band", "other", *(F.col(c).alias(f"{c}_a") for c in ("sid", "n", "rank")))
+    right = met.select(
+        "token", F.col("other").alias("band"), F.col("band").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("sid", "n", "rank"))
+    )
+    must = f"ceil({share} * (n_a + n_b) - 1e-6)"
+    soon = f"rank_a <= n_a - {must} + 1 and rank_b <= n_b - {must} + 1"
+    pairs = left.join(right, ["token", "band", "other"]).where(f"sid_a < sid_b and {_alike('n_a', 'n_b')} and {soon}")
+    return pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+
+
 def _between(stars: DataFrame, lists: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """Links between members of different stars."""
     reach = scratch(stars.groupBy("centre").agg(F.max("distance").alias("reach")), "reach")
@@ -282,30 +327,24 @@ def _between(stars: DataFrame, lists: DataFrame, texts: DataFrame, links: DataFr
 
     # Centres alone and about no hub are compared with each other.
     about = measured.where(F.col("beyond") <= 0).select(F.col("b").alias("sid")).distinct()
-    alone = held.where("reach = 0").join(about, "sid", "left_anti")
-    one = alone.select("token", F.col("sid").alias("a"), F.col("lists").alias("lists_a"))
-    two = alone.select("token", F.col("sid").alias("b"), F.col("lists").alias("lists_b"))
-    pairs = (
-        one.join(two, "token")
-        .where("a < b")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("c"), F.max(F.greatest("lists_a", "lists_b")).alias("lists"))
-        .where(F.col("c") >= LEAST * F.col("lists"))
-        .select("a", "b")
-    )
+    alone = held.where("reach = 0").select("sid").distinct().join(about, "sid", "left_anti")
+    pairs = _by_rarest(texts.join(alone, "sid", "left_semi"))
     rest = scratch(_across(pairs, components(links)), "rest")
     return links.unionByName(probed(rest, texts).where("linked").select("a", "b"))
 
 
-def similar(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAMPLE) -> DataFrame:
     """``id, key, n, group, component`` of every document: its shingles, a number for those it is linked with, through
     others too, and the least id of these.
 
     Documents with equal sets are linked. Those without words (null and empty texts too) have no shingles and are linked
     with nothing: their component is their own id. Rows that repeat share a component; a null id never is a
     component's id unless all its documents lack one; an empty table gives no rows.
+
+    ``sample`` None looks up the lists of all shingles: then nothing is left to chance but hashes, for as many more rows
+    as the sets are larger than ``SAMPLE``.
     """
-    rows = scratch(marks(docs, id_column), "marks")
+    rows = scratch(marks(docs, id_column, sample), "marks")
     postings = rows.select("sid", "n", F.size("sample").alias("lists"), F.explode("sample").alias("token"))
     tokens = postings.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     live = scratch(postings.join(tokens, "token", "left_semi").distinct(), "postings")
@@ -352,23 +391,24 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Documents without words all stay, as each is linked with nothing.
     """
+    id_, key_ = unused(docs, "__id", "__key")
     rows = scratch(similar(docs).where("n > 0"), "similar")
     firsts = rows.where("id <=> component").groupBy("group").agg(F.min("key").alias("first"))
     losers = (
         rows.join(firsts, "group")
         .where(~(F.col("id").eqNullSafe(F.col("component")) & (F.col("key") == F.col("first"))))
-        .select(F.col("id").alias("__id"), F.col("key").alias("__key"))
+        .select(F.col("id").alias(id_), F.col("key").alias(key_))
         .distinct()
     )
     key = text_key(docs["text"])
-    kept = docs.join(losers, docs["doc_id"].eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    kept = docs.join(losers, docs["doc_id"].eqNullSafe(F.col(id_)) & (key == F.col(key_)), "left_anti")
     # Rows of equal id and text are left, and of these any one may stay.
     repeated = scratch(
-        rows.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.count("*").alias("n")).where("n > 1"),
+        rows.groupBy(F.col("id").alias(id_), F.col("key").alias(key_)).agg(F.count("*").alias("n")).where("n > 1"),
         "repeated",
-    ).select("__id", "__key")
+    ).select(id_, key_)
     if repeated.isEmpty():
         return kept
-    same = kept["doc_id"].eqNullSafe(F.col("__id")) & (text_key(kept["text"]) == F.col("__key"))
-    once = kept.join(repeated, same).dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    same = kept["doc_id"].eqNullSafe(F.col(id_)) & (text_key(kept["text"]) == F.col(key_))
+    once = kept.join(repeated, same).dropDuplicates([id_, key_]).drop(id_, key_)
     return kept.join(repeated, same, "left_anti").unionByName(once)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from guestbook.llm import jaccard
 from guestbook.llm.components import components
@@ -74,6 +75,42 @@ def test_last_round_makes_every_set_a_centre(spark, monkeypatch):
     assert found(documents(spark, rows)) == brute(rows)
 
 
+@pytest.mark.parametrize("words, changes", [(300, 14), (300, 60), (90, 9), (30, 2)])
+def test_the_rarest_shingles_lose_no_link(spark, words, changes):
+    """All linked pairs of a family whose sets mostly aren't linked, whatever they have in common."""
+    rng = random.Random(words)
+    base = prose(rng, words)
+    texts = [edited(rng, base, rng.randrange(changes // 2, changes)) for _ in range(60)]
+    texts += [edited(rng, t, rng.randrange(1, 4)) for t in texts[:20]] + [" ".join(t.split(" ")[: rng.randrange(words * 3 // 4, words)]) for t in texts[20:30]]
+    sets = {i: set(shingles(t).tolist()) for i, t in enumerate(texts)}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    got = {(r["a"], r["b"]) for r in jaccard._by_rarest(spark.createDataFrame(list(enumerate(texts)), "sid long, text string")).collect()}
+    assert want and want <= got
+
+
+def test_pairs_of_a_large_family_are_few(spark):
+    """Sets that depart from their common text in what they have alone aren't paired by what they share."""
+    rng = random.Random(4)
+    base = prose(rng, 200).split(" ")
+    texts = [" ".join(f"w{i}x{j}" if rng.random() < 0.05 else w for j, w in enumerate(base)) for i in range(300)]
+    pairs = jaccard._by_rarest(spark.createDataFrame(list(enumerate(texts)), "sid long, text string")).count()
+    assert pairs < 300 * 299 / 2 / 20
+
+
+def test_all_lists_leave_nothing_to_chance(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE", 4)
+    rows = corpus(5)
+    got = similar(documents(spark, rows), sample=None).collect()
+    assert sorted(((r["id"], r["n"], r["component"]) for r in got), key=repr) == brute(rows)
+
+
+def test_clashing_names(spark):
+    rows = corpus(3)[:12] + corpus(3)[:3]
+    docs = documents(spark, rows).withColumn("__id", F.lit("mine")).withColumn("__key", F.lit(1)).withColumn("__KEY_", F.lit(2))
+    kept = representatives(docs)
+    assert kept.columns == docs.columns and {r["__id"] for r in kept.select("__id").collect()} == {"mine"}
+
+
 def test_one_of_each_group_stays(spark):
     rows = corpus(3)
     rows += rows[:5]

@@ -138,12 +138,16 @@ def _all_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"sid": sid, "n": len(found), "token": signed(found)})
 
 
-def _merged_whole(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of sets with many long lists, the pairs that occur often enough in short ones, by the lists of all their
-    shingles; and the sets that may be linked through long lists alone."""
+def _shared_lists(texts: DataFrame) -> DataFrame:
+    """``sid, n, token, held``: all shingles of the sets that another one has too, and how many have them."""
     every = scratch(texts.mapInPandas(_all_lists, "sid long, n long, token long"), "all-lists")
     held = every.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    lists = scratch(every.join(held, "token"), "shared-lists")
+    return scratch(every.join(held, "token"), "shared-lists")
+
+
+def _merged_whole(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sets with many long lists, the pairs that occur often enough in short ones, by the lists of all their
+    shingles; and the sets that may be linked through long lists alone."""
     long = lists.where(F.col("held") > SHORT).groupBy("sid").agg(F.count("*").alias("long"))
     short = lists.where(F.col("held") <= SHORT).join(long, "sid", "left").fillna(0, ["long"])
     left = short.select("token", *(F.col(c).alias(f"{c}_a") for c in ("sid", "n", "long")))
@@ -269,31 +273,37 @@ def _around_hubs(near: DataFrame, texts: DataFrame, links: DataFrame) -> DataFra
     return links.unionByName(probed(rest, texts).where("linked").select("a", "b"))
 
 
-def _by_rarest(texts: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of the sets of ``texts`` that share one of their rarest shingles, all pairs that are linked among them.
+def _rarest(lists: DataFrame) -> DataFrame:
+    """``sid, n, token, rank``: of sets given by their shared shingles (``sid, n, token, held``) those that come early by rarity.
+
+    Shingles a set has alone come before all others. What is kept is all but as many, less one, as any linked set must share.
+    """
+    order = Window.partitionBy("sid").orderBy("held", "token")  # a set's shingles at most
+    own = F.col("n") - F.count("*").over(Window.partitionBy("sid"))
+    ranked = lists.select("sid", "n", "token", (F.row_number().over(order) + own).alias("rank"))
+    return ranked.where(f"rank <= n - ceil({PERCENT / 100} * n - 1e-6) + 1")
+
+
+def _by_rarest(rarest: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of sets that share one of their rarest shingles, all pairs that are linked among them.
 
     Of two linked sets so many shingles are shared that in any order one of them comes early in both: by the time all but
     as many, less one, have passed. In the order of rarity these are the shingles that a set has almost alone; what a
     large family has in common comes late in all its sets, unless they differ so little that they are linked with one centre. How many must
     be shared depends on both sizes, so sets meet by ``(shingle, size band, size band)`` and pass no more shingles than that band asks.
     """
-    every = scratch(texts.mapInPandas(_all_lists, "sid long, n long, token long"), "centre-shingles")
-    common = every.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    rarest = Window.partitionBy("sid").orderBy("held", "token")  # a set's shingles at most
-    shared = every.join(common, "token").withColumn("rank", F.row_number().over(rarest))
-    own = shared.groupBy("sid").agg(F.count("*").alias("shared"))  # those of the set alone come before all others
-    shared = shared.join(own, "sid").withColumn("rank", F.col("rank") + F.col("n") - F.col("shared"))
 
     def band(n: str) -> str:
         return f"floor(log({n}) / log({BAND}))"
 
     share = PERCENT / (100 + PERCENT)
+    # The size of the largest partner that still asks for a shingle of this rank.
+    largest = f"least(n * {100 / PERCENT}, (n + 1 - rank) / {share} - n) * (1 + 1e-6)"
+    bands = f"sequence({band(f'n * {PERCENT / 100} * (1 - 1e-6)')}, {band(largest)})"
     met = (
-        shared.where(f"rank <= n - ceil({PERCENT / 100} * n - 1e-6) + 1")
-        .withColumn("band", F.expr(band("n")))
-        .withColumn("other", F.explode(F.expr(f"sequence({band(f'n * {PERCENT / 100} * (1 - 1e-9)')}, {band(f'n * {100 / PERCENT} * (1 + 1e-9)')})")))
-        .where(f"rank <= n - ceil({share} * (n + pow({BAND}, other) * (1 - 1e-9)) - 1e-6) + 1")
-        .select("token", "sid", "n", "rank", "band", "other")
+        rarest.where(f"{band(largest)} >= {band(f'n * {PERCENT / 100} * (1 - 1e-6)')}")
+        .withColumn("band", F.expr(band("n * (1 + 1e-9)")))
+        .select("token", "sid", "n", "rank", "band", F.explode(F.expr(bands)).alias("other"))
     )
     met = scratch(met, "rarest-shingles")
     left = met.select("token", "band", "other", *(F.col(c).alias(f"{c}_a") for c in ("sid", "n", "rank")))
@@ -306,7 +316,7 @@ def _by_rarest(texts: DataFrame) -> DataFrame:
     return pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
 
 
-def _between(stars: DataFrame, lists: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
+def _between(stars: DataFrame, lists: DataFrame, rarest: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """Links between members of different stars."""
     reach = scratch(stars.groupBy("centre").agg(F.max("distance").alias("reach")), "reach")
     held = lists.join(reach.withColumnRenamed("centre", "sid"), "sid").select("token", "sid", "lists", "reach")
@@ -328,7 +338,7 @@ def _between(stars: DataFrame, lists: DataFrame, texts: DataFrame, links: DataFr
     # Centres alone and about no hub are compared with each other.
     about = measured.where(F.col("beyond") <= 0).select(F.col("b").alias("sid")).distinct()
     alone = held.where("reach = 0").select("sid").distinct().join(about, "sid", "left_anti")
-    pairs = _by_rarest(texts.join(alone, "sid", "left_semi"))
+    pairs = _by_rarest(rarest.join(alone, "sid", "left_semi"))
     rest = scratch(_across(pairs, components(links)), "rest")
     return links.unionByName(probed(rest, texts).where("linked").select("a", "b"))
 
@@ -362,7 +372,8 @@ def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAM
     own_text = docs.select(text_key(F.col("text")).alias("key"), "text")
     texts = scratch(own_text.join(chosen, "key").select("sid", "text").dropDuplicates(["sid"]), "texts")
 
-    again, crowded = _merged_whole(texts.join(gathered.select("sid").distinct(), "sid", "left_semi"))
+    whole = _shared_lists(texts.join(gathered.select("sid").distinct(), "sid", "left_semi"))
+    again, crowded = _merged_whole(whole)
     pairs = scratch(pairs.unionByName(again).distinct(), "pairs")
     gathered = scratch(gathered.join(crowded, "sid", "left_semi"), "gathered")
 
@@ -374,7 +385,7 @@ def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAM
     if not gathered.isEmpty():
         stars = scratch(_stars(gathered, texts), "stars")
         links = scratch(links.unionByName(stars.where("sid <> centre").select(F.col("sid").alias("a"), F.col("centre").alias("b"))), "links")
-        links = scratch(_between(stars, lists, texts, links), "links")
+        links = scratch(_between(stars, lists, scratch(_rarest(whole), "rarest"), texts, links), "links")
 
     roots = components(links)
     group = F.when(F.col("n") > 0, F.coalesce("root", "sid"))

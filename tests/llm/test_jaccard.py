@@ -75,6 +75,11 @@ def test_last_round_makes_every_set_a_centre(spark, monkeypatch):
     assert found(documents(spark, rows)) == brute(rows)
 
 
+def by_rarest(spark, texts):
+    lists = jaccard._shared_lists(spark.createDataFrame(list(enumerate(texts)), "sid long, text string"))
+    return jaccard._by_rarest(jaccard._rarest(lists))
+
+
 @pytest.mark.parametrize("words, changes", [(300, 14), (300, 60), (90, 9), (30, 2)])
 def test_the_rarest_shingles_lose_no_link(spark, words, changes):
     """All linked pairs of a family whose sets mostly aren't linked, whatever they have in common."""
@@ -84,7 +89,7 @@ def test_the_rarest_shingles_lose_no_link(spark, words, changes):
     texts += [edited(rng, t, rng.randrange(1, 4)) for t in texts[:20]] + [" ".join(t.split(" ")[: rng.randrange(words * 3 // 4, words)]) for t in texts[20:30]]
     sets = {i: set(shingles(t).tolist()) for i, t in enumerate(texts)}
     want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
-    got = {(r["a"], r["b"]) for r in jaccard._by_rarest(spark.createDataFrame(list(enumerate(texts)), "sid long, text string")).collect()}
+    got = {(r["a"], r["b"]) for r in by_rarest(spark, texts).collect()}
     assert want and want <= got
 
 
@@ -93,7 +98,7 @@ def test_pairs_of_a_large_family_are_few(spark):
     rng = random.Random(4)
     base = prose(rng, 200).split(" ")
     texts = [" ".join(f"w{i}x{j}" if rng.random() < 0.05 else w for j, w in enumerate(base)) for i in range(300)]
-    pairs = jaccard._by_rarest(spark.createDataFrame(list(enumerate(texts)), "sid long, text string")).count()
+    pairs = by_rarest(spark, texts).count()
     assert pairs < 300 * 299 / 2 / 20
 
 

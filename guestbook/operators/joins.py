@@ -111,21 +111,34 @@ def lookup(
     return join_on(left.where(complete), one, equal=pairs, how="left").unionByName(incomplete)
 
 
-def longest_prefix(left: DataFrame, text: str, prefixes: DataFrame, prefix: str, values: Sequence[str]) -> DataFrame:
+def longest_prefix(
+    left: DataFrame,
+    text: str,
+    prefixes: DataFrame,
+    prefix: str,
+    values: Sequence[str],
+    lengths: tuple[str, str] | None = None,
+) -> DataFrame:
     """Left join on the longest ``prefix`` that ``text`` starts with; the prefix table holds one row per prefix.
 
     The rows are cut to their distinct leads, as many characters as the longest prefix has. Each lead is
-    looked up at every length, and rows meet what their lead has found.
+    looked up at every length, and rows meet what their lead has found. ``lengths`` names the columns of the least and most
+    characters that a text under a prefix may have: then the longest prefix counts whose lengths fit, rows are cut to leads
+    and lengths, and a prefix may have several rows whose lengths don't overlap.
     """
+    whole = F.length(text) if lengths else F.lit(0)
     reach = prefixes.agg(F.max(F.length(prefix))).first()[0] or 0
     lead = F.substring(F.col(text), 1, reach)
-    leads = left.select(lead.alias("_lead")).where("_lead <> ''").distinct()
+    leads = left.select(lead.alias("_lead"), whole.alias("_whole")).where("_lead <> ''").distinct()
     starts = leads.withColumn("_length", F.explode(F.sequence(F.lit(1), F.length("_lead"))))
-    table = prefixes.select(F.col(prefix).alias("_prefix"), F.struct(*[F.col(v) for v in values]).alias("_values"))
+    fit = [F.col(c).alias(n) for c, n in zip(lengths or (), ("_least", "_most"), strict=False)]
+    table = prefixes.select(F.col(prefix).alias("_prefix"), F.struct(*[F.col(v) for v in values]).alias("_values"), *fit)
     found = (
         starts.join(table, F.expr("substring(_lead, 1, _length)") == F.col("_prefix"))
-        .groupBy("_lead")
+        .where(F.expr("_whole between _least and _most") if lengths else F.lit(True))
+        .groupBy("_lead", "_whole")
         .agg(F.max_by("_values", "_length").alias("_values"))
     )
-    joined = left.withColumn("_of", lead).join(found, F.col("_of") == F.col("_lead"), "left")
+    met = (F.col("_of") == F.col("_lead")) & (F.col("_size") == F.col("_whole"))
+    joined = left.withColumns({"_of": lead, "_size": whole}).join(found, met, "left")
     return joined.select(*left.columns, *[F.col("_values").getField(v).alias(v) for v in values])

@@ -81,3 +81,21 @@ def phone_zone(df: DataFrame, phone: str, prefixes: DataFrame, values: Sequence[
         F.col("_e164").isNotNull() & F.col(values[0]).isNotNull(), "valid"
     )
     return matched.withColumn("phone_check", verdict.when(typed.isNotNull(), "invalid")).drop("_e164")
+
+
+#: Columns of a number plan: the prefix, and the least and most digits of a number under it, the prefix included.
+PLAN = ("prefix", "least", "most")
+
+
+def phone_plan(df: DataFrame, phone: str, plan: DataFrame, values: Sequence[str] = ("country", "zone")) -> DataFrame:
+    """Validity of an international number by a number plan, and what the plan says of it.
+
+    The plan is a tree of prefixes (``PLAN`` beside ``values``), each with the lengths it admits. A number is valid when some prefix of
+    it admits its length; the longest such prefix says where it belongs. So a number that is too short for its area may still be
+    one of the country around it, and one that fits neither is invalid. Null numbers get a null verdict.
+    """
+    typed = F.col(phone)
+    e164 = F.when(typed.startswith("+") & (digits(typed) != ""), digits(typed))
+    matched = longest_prefix(df.withColumn("_e164", e164), "_e164", plan, PLAN[0], values, PLAN[1:])
+    verdict = F.when(typed.isNotNull(), F.when(F.col(values[0]).isNotNull(), "valid").otherwise("invalid"))
+    return matched.withColumn("phone_check", verdict).drop("_e164")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from guestbook.operators import audit, clean, quality
 from guestbook.operators.conform import Schema
+from guestbook.operators.dedupe import distinct_rows
 from guestbook.operators.snapshots import placeholder_row
 from guestbook.sinks.files import day_folder, land, write_parquet
 from guestbook.sources import files
@@ -24,7 +25,7 @@ def clean_table(df: DataFrame, columns: Sequence[str], dotted: bool = False) ->
     """Distinct, non-empty rows with every mapped column present and tidy."""
     if dotted:
         df = clean.drop_duplicate_columns(clean.rename_dots(df))
-    df = clean.drop_empty_rows(df.distinct())
+    df = clean.drop_empty_rows(distinct_rows(df))
     return clean.normalise(clean.ensure_columns(df, columns), columns)
 
 

@@ -153,6 +153,48 @@ def person_address(t: Tables) -> DataFrame:
     return places.consumer_addresses(persons.residences(persons.identify(people(t))), book)
 
 
+BRIDGES_SQL = f"""{IDENTIFIED_SQL}, {_book_sql(HOME_ROWS, ORDER_ROWS)}, {HOMES_SQL},
+    lives as (select distinct id as consumer_id, {key_sql(*BOOK_COLUMNS)} as place_id from homes
+      where coalesce({', '.join(BOOK_COLUMNS)}) is not null),
+    lies as (select distinct {key_sql(*BOOK_COLUMNS)} as place_id, id as address_id from book
+      where coalesce({', '.join(BOOK_COLUMNS)}) is not null)"""
+
+
+def _bridges(t: Tables) -> tuple[DataFrame, DataFrame]:
+    book = places.address_book([home_addresses(t), order_addresses(t)])
+    return places.person_places(persons.residences(persons.identify(people(t)))), places.place_addresses(book)
+
+
+@query(f"with {BRIDGES_SQL} select *, {key_sql('consumer_id', 'place_id')} as id from lives")
+def person_places(t: Tables) -> DataFrame:
+    return _bridges(t)[0]
+
+
+@query(f"with {BRIDGES_SQL} select *, {key_sql('place_id', 'address_id')} as id from lies")
+def place_addresses(t: Tables) -> DataFrame:
+    return _bridges(t)[1]
+
+
+@query(
+    f"""with {BRIDGES_SQL}, n as (select place_id, count(consumer_id) as people, count(address_id) as addresses
+      from (select place_id, consumer_id, null as address_id from lives union all select place_id, null, address_id from lies) group by 1)
+    select place_id, people, addresses, people * addresses as links from n"""
+)
+def place_links(t: Tables) -> DataFrame:
+    """People and addresses of every place, and how many pairs that makes."""
+    return places.place_links(*_bridges(t))
+
+
+@query(
+    f"""with {BRIDGES_SQL}, n as (select place_id from lives join lies using (place_id) group by 1 having count(*) = 1)
+    select consumer_id, address_id from lives join lies using (place_id) where place_id in (select place_id from n)"""
+)
+def only_address_there(t: Tables) -> DataFrame:
+    """Pairs on demand: of the places where one person and one address meet."""
+    living, lying = _bridges(t)
+    return places.pairs_of(living, lying, places.place_links(living, lying).where("links = 1"))
+
+
 @query(
     f"""with staged as (select distinct o_orderkey as id, o_orderpriority || chr(9) as address_1,
         o_orderstatus as city from {{orders}}),

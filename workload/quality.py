@@ -14,7 +14,7 @@ from guestbook.functions import (
     trim_blank,
 )
 from guestbook.operators.audit import counted
-from guestbook.operators.quality import email_column, phone_columns, phone_zone, split_quality
+from guestbook.operators.quality import email_column, phone_columns, phone_plan, phone_zone, split_quality
 from workload.recipes import CRM, UNBLANKED, VENDOR, crm
 from workload.registry import Tables, query
 
@@ -172,6 +172,37 @@ def phone_country(t: Tables) -> DataFrame:
     return phone_zone(crm(t).select("id", "phone"), "phone", prefixes)
 
 
+#: Prefixes inside prefixes, with the lengths each admits.
+PLAN = [
+    ("1", 11, 11, "NA", "America"),
+    ("11", 9, 10, "NA-1", "America/1"),
+    ("110", 11, 12, "NA-10", "America/10"),
+    ("1104", 8, 10, "NA-104", "America/104"),
+    ("11045", 12, 15, "NA-1045", "America/1045"),
+    ("12", 8, 8, "NA-2", "America/2"),
+    ("12", 11, 13, "NA-2 long", "America/2"),
+    ("15", 12, 12, "NA-5", "America/5"),
+    ("44", 12, 12, "GB", "Europe/London"),
+]
+PLAN_SQL = "(values " + ", ".join(str(p) for p in PLAN) + ") p(prefix, least, most, country, zone)"
+
+
+@query(
+    f"""with numbers as (
+      select id, phone, case when starts_with(phone, '+') then regexp_replace(phone, '[^0-9]', '', 'g') end as e164 from ({CRM})),
+    ranked as (
+      select n.*, p.country, p.zone, row_number() over (partition by id order by length(p.prefix) desc) as rn
+      from numbers n left join {PLAN_SQL} on starts_with(n.e164, p.prefix) and length(n.e164) between p.least and p.most)
+    select id, phone, country, zone, case when phone is null then null when country is not null then 'valid'
+      else 'invalid' end as phone_check
+    from ranked where rn = 1"""
+)
+def phone_plan_country(t: Tables) -> DataFrame:
+    """The longest prefix whose lengths admit the number."""
+    plan = t.spark.createDataFrame(PLAN, "prefix string, least int, most int, country string, zone string")
+    return phone_plan(crm(t).select("id", "phone"), "phone", plan)
+
+
 @query(
     f"""select id, email, phone, case when {email_sql(UNBLANKED % 'email')} = 'invalid' then 'email'
         when {phone_sql('phone')} = 'invalid' then 'phone' end as reject_reason

@@ -124,16 +124,16 @@ def placeholder_zone(t: Tables) -> DataFrame:
     return both.select(F.lit("vendor").alias("system"), "id", "email")
 
 
-@query("""select 'nation' as table_name, cast(n_nationkey as bigint) as id, n_name as name from {nation}
-    union all select 'region', r_regionkey, r_name from {region}""")
+@query("""select 'buyer' as table_name, c_custkey as id, c_name as name from {customer}
+    union all select 'purchase', o_orderkey, o_orderpriority from {orders}""")
 def catalog_landing(t: Tables) -> DataFrame:
     """Every table of a catalog database copied to its dated raw folder."""
     place, out = fresh_dir(t.spark, "database"), fresh_dir(t.spark, "raw")
     database = place.rsplit("/", 1)[-1].replace("-", "_")
     t.spark.sql(f"create database {database} location '{place}'")
     try:
-        t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")).write.saveAsTable(f"{database}.nation")
-        t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")).write.saveAsTable(f"{database}.region")
+        t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).write.saveAsTable(f"{database}.buyer")
+        t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name")).write.saveAsTable(f"{database}.purchase")
         names = land_database(t.spark, database, out, "erp", DAY)
     finally:
         t.spark.sql(f"drop database {database} cascade")
@@ -141,17 +141,18 @@ def catalog_landing(t: Tables) -> DataFrame:
     return frames[0].unionByName(frames[1])
 
 
-@query("select n_nationkey as id, n_name as name, n_regionkey as region from {nation} union all select n_nationkey, n_name, n_regionkey from {nation}")
+@query("""select o_orderkey as id, o_orderpriority as name, o_custkey as buyer from {orders}
+    union all select o_orderkey, o_orderpriority, o_custkey from {orders}""")
 def csv_snapshot(t: Tables) -> DataFrame:
     """A snapshot of CSV files, found and read by its format, beside the same with a declared schema."""
     root = fresh_dir(t.spark, "raw")
-    table = MappedTable("erp", "null", "nation", ("id", "name", "region"))
-    rows = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    table = MappedTable("erp", "null", "purchase", ("id", "name", "buyer"))
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_custkey").alias("buyer"))
     rows.write.option("header", True).csv(f"{root}/{table.folder()}/2024/01/02")
     path = find_snapshot(t.spark, root, table, DAY)
     found = read_snapshot(t.spark, path, detect_format(t.spark, path))
-    typed = read_snapshot(t.spark, path, "csv", {"id": "int", "name": "string", "region": "int"})
-    return found.select(F.col("id").cast("int"), "name", F.col("region").cast("int")).unionByName(typed)
+    typed = read_snapshot(t.spark, path, "csv", {"id": "bigint", "name": "string", "buyer": "bigint"})
+    return found.select(F.col("id").cast("bigint"), "name", F.col("buyer").cast("bigint")).unionByName(typed)
 
 
 @query(

@@ -348,16 +348,16 @@ def warehouse_refresh(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(f"{root}/people")
 
 
-@query("""select n_nationkey, n_name, day from {nation}, (values ('2024-01-01'), ('2024-01-02')) d(day)
+@query("""select event_id, event_type, day from {events}, (values ('2024-01-01'), ('2024-01-02')) d(day)
     union all select -1, 'again', '2024-01-01'""")
 def raw_landing(t: Tables) -> DataFrame:
     """Two days landed, the first of them twice: the second landing replaces that day alone."""
     path = fresh_dir(t.spark, "raw")
-    rows = t.nation.select("n_nationkey", "n_name")
-    more = t.spark.range(1).select((F.col("id") - 1).cast(rows.schema["n_nationkey"].dataType).alias("n_nationkey"), F.lit("again").alias("n_name"))
-    for day, df in (("2024-01-01", rows.limit(1)), ("2024-01-02", rows), ("2024-01-01", rows.union(more))):
+    rows = t.events.select("event_id", "event_type")
+    more = t.spark.range(1).select((F.col("id") - 1).alias("event_id"), F.lit("again").alias("event_type"))
+    for day, df in (("2024-01-01", rows.where("event_type = 'click'")), ("2024-01-02", rows), ("2024-01-01", rows.union(more))):
         land(df, path, day)
-    return t.spark.read.parquet(path).select("n_nationkey", "n_name", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
+    return t.spark.read.parquet(path).select("event_id", "event_type", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day"))
 
 
 @query("""select event_id, user_id, strftime(ts, '%Y-%m-%d') as day from {events}""")

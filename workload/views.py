@@ -93,7 +93,7 @@ RAW = {
         array(user_id % 30) as emailListIds from {events} where event_type = 'purchase'""",
     MAIL + "campaigns": """select p_partkey as id, p_name as name, p_size as templateId, 'Email' as messageMedium, 'me' as createdByUserId,
         'me' as updatedByUserId, 'Done' as campaignState, 'Blast' as type, array(p_partkey % 40, p_partkey % 2 + 40) as listIds
-        from {part} where p_partkey % 3 = 0 and p_partkey < 100""",
+        from {part}""",
     MAIL + "lists": "select n_nationkey as id, n_name as name, 'd' as description, 'Standard' as listType from {nation}",
     MAIL + "message_types": "select r_regionkey as id, r_name as name, 'opt' as subscriptionPolicy from {region}",
 }

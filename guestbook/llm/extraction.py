@@ -13,7 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +30,7 @@ STEPS = 30
 RIDGE = 1.0
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(?P<raw>script|style|textarea|title|iframe)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][\w:-]*+)(?P<attrs2>[^>]*+)>"
@@ -128,8 +128,10 @@ class Page:
 def _tokens(source: str) -> Iterator[re.Match[str]]:
     at = 0
     unclosed: set[str] = set()  # names without an end tag in what is left
+    last = source.rfind(">")  # behind it nothing is markup but a comment that isn't closed
     while at < len(source):
-        token = _TOKEN.match(source, at)
+        alone = at > last and source[at] == "<" and not source.startswith("<!--", at)
+        token = _TOKEN.match(source, at, at + 1 if alone else len(source))
         at = token.end()
         tag = (token["tag"] or token["tag2"] or "").lower()
         if tag not in _APART or token["end"] or token["end2"] or tag in unclosed:
@@ -146,10 +148,20 @@ def _tokens(source: str) -> Iterator[re.Match[str]]:
 def parse(source: str | None) -> Page:
     """Scripts, styles, form choices and markup are left out; character references are decoded, white space is one space."""
     page = Page()
-    stack = [(page.add(-1, _GROUP["body"]), "html")]
+    stack = [page.add(-1, _GROUP["body"])]
+    names: list[str] = ["html"]
+    places: dict[str, list[int]] = {}  # where elements of a name are open
     texts: list[tuple[str, bool]] = []
     anchors = 0
 
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def close(at: int) -> None:
+        while len(stack) > at:
+            stack.pop()
+            places[names.pop()].pop()
+
     def flush() -> None:
         if not texts:
             return
@@ -158,7 +170,7 @@ def parse(source: str | None) -> Page:
             words = text.count(" ") + 1
             linked = min(words, sum(len(t.split()) for t, a in texts if a))
             stops = text.count(".") + text.count(",")
-            page.runs.append((page.add(stack[-1][0], _TEXT, "", words, linked, stops), text))
+            page.runs.append((page.add(stack[-1], _TEXT, "", words, linked, stops), text))
         texts.clear()
 
     for token in _tokens(source or ""):
@@ -177,24 +189,21 @@ def parse(source: str | None) -> Page:
         elif tag in _GROUP:
             flush()
             if ends:
-                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] == tag), 0)
-                if at:
-                    del stack[at:]
+                if at := nearest([tag]):
+                    close(at)
                     anchors = 0
                 continue
             if tag in ("html", "body", "head"):
                 continue
-            if stack[-1][1] == "p":
-                stack.pop()
+            if names[-1] == "p":
+                close(len(stack) - 1)
             if tag in _ENDS:
-                same, within = _ENDS[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][1] in within:
-                        break
-                    if stack[i][1] in same:
-                        del stack[i:]
-                        break
-            stack.append((page.add(stack[-1][0], _GROUP[tag], token["attrs"] or token["attrs2"] or ""), tag))
+                same, within = map(nearest, _ENDS[tag])
+                if same > within:
+                    close(same)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(page.add(stack[-1], _GROUP[tag], token["attrs"] or token["attrs2"] or ""))
+            names.append(tag)
     flush()
     return page
 

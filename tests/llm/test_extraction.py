@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -42,6 +43,42 @@ def test_elements_left_out_end_where_they_end():
     assert text_of(parse("<svg><p>a</p>" * 20_000)) == ["a"] * 20_000
 
 
+def words_of(source):
+    return [t for _, t in parse(source).runs]
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!---->", "<!-- a -- > b --!>", "<!-- a\n-->", "<!-- > -->", "<!--!>-->"])
+def test_comments_end_where_html_ends_them(comment):
+    assert words_of(f"<p>one</p>{comment}<p>two</p>") == ["one", "two"]
+
+
+def test_what_is_no_markup_is_text():
+    assert words_of("<p>a < b <c") == ["a < b <c"]
+    assert words_of("<p>one</p><!-- open") == ["one"]
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<a " * 330_000,
+        "</a " * 250_000,
+        "<a '" * 250_000 + ">",
+        "<" * 1_000_000,
+        "<!" * 500_000,
+        "<div>" * 60_000 + "</nav>" * 60_000,
+        "<li><ul>" + "<div>" * 60_000 + "<li></li>" * 60_000,
+        "<div>" * 60_000 + "<dt></dt>" * 60_000,
+        "<svg>" * 200_000,
+        "<!--" * 250_000,
+    ],
+    ids=range(10),
+)
+def test_a_megabyte_is_parsed_in_linear_time(source):
+    start = time.perf_counter()
+    parse(source + "x")
+    assert time.perf_counter() - start < 8  # a second or two on a machine that does nothing else
+
+
 def test_custom_elements_before_the_article(model):
     rng = random.Random(6)
     article = "".join(f"<p>{prose(rng, 60)}</p>" for _ in range(4))

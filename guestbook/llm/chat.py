@@ -4,7 +4,7 @@ A log holds a conversation again each time it grows. The rolling hash of a conve
 of the hashes of its turns, each with its place; a conversation whose whole hash is the hash of a
 longer one up to some turn is a snapshot of that one, and an anti-join drops it. Of equal conversations
 that of least id stays. As sums are merged in any order, a conversation of any length is summed where its rows
-lie; running sums are taken in blocks of ``BLOCK`` turn numbers and over the blocks.
+lie, in ranges of their order, and over the ranges.
 """
 
 from __future__ import annotations
@@ -15,10 +15,8 @@ from pyspark.sql.window import Window
 
 from guestbook.llm.common import scratch
 
-#: Turn numbers that are summed, and rendered, together.
+#: Turns of a conversation that are rendered together.
 BLOCK = 256
-#: Beyond so many rows in a block (equal turn numbers, then) it is rendered in parts of ``BLOCK`` rows.
-ROWS = 1024
 #: Characters of a text by which rows are dealt before they are sorted.
 LEAD = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -46,107 +44,68 @@ def turns(conversations: DataFrame) -> DataFrame:
     return rows.withColumns(dict(zip(_SUMS, _hashes(), strict=True)))
 
 
-def _block() -> Column:
-    return F.floor(F.col("turn") / BLOCK)
+def placed(rows: DataFrame) -> DataFrame:
+    """Distinct ``rows`` with ``n, s0..s3``, the turns and rolling hash of the conversation up to the row, and ``last``.
 
-
-def signatures(rows: DataFrame) -> DataFrame:
-    """``conv, turn, n, s0..s3, last``: turns and rolling hash of a conversation up to each turn number."""
-    once = rows.select("conv", "turn", *_SUMS).distinct()
-    each = scratch(
-        once.groupBy("conv", "turn").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in _SUMS)), "turn-sums"
-    ).withColumn("block", _block())
+    Rows stand in the order of turn, role and text. They are dealt by ranges of that order, numbered and summed where they lie, and the
+    sums of a conversation's ranges before are added; so a long or crowded conversation is no one's window.
+    """
+    once = rows.dropDuplicates(["conv", "turn", *_SUMS])
+    dealt = once.repartitionByRange("conv", "turn", "role", F.substring("text", 1, LEAD))
+    dealt = scratch(dealt.withColumn("range", F.spark_partition_id()), "dealt-turns")
     sums = ["n", *_SUMS]
-    blocks = each.groupBy("conv", "block").agg(*(F.sum(c).alias(c) for c in sums), F.max("turn").alias("end"))
-    before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
+    each = dealt.groupBy("conv", "range").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in _SUMS))
+    before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("conv")  # a row a range
+    offsets = each.select(
         F.col("conv").alias("__conv"),
-        F.col("block").alias("__block"),
+        F.col("range").alias("__range"),
         *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{c}") for c in sums),
-        F.max("end").over(Window.partitionBy("conv")).alias("__end"),
+        F.sum("n").over(whole).alias("__all"),
+    )
+    inside = Window.partitionBy("conv", "range").orderBy("turn", "role", "text")
+    running = dealt.select(
+        "conv", "turn", "role", "text", "range", F.row_number().over(inside).alias("n"), *(F.sum(c).over(inside).alias(c) for c in _SUMS)
     )
-    inside = Window.partitionBy("conv", "block").orderBy("turn")
+    same = F.col("conv").eqNullSafe(F.col("__conv")) & (F.col("range") == F.col("__range"))
     return (
-        each.select("conv", "block", "turn", *(F.sum(c).over(inside).alias(c) for c in sums))
-        .join(offsets, F.col("conv").eqNullSafe(F.col("__conv")) & (F.col("block") == F.col("__block")))
-        .select(
-            "conv", "turn", *((F.col(c) + F.col(f"__{c}")).alias(c) for c in sums), (F.col("turn") == F.col("__end")).alias("last")
-        )
+        running.join(offsets, same)
+        .select("conv", "turn", "role", "text", *((F.col(c) + F.col(f"__{c}")).alias(c) for c in sums), "__all")
+        .withColumn("last", F.col("n") == F.col("__all"))
+        .drop("__all")
     )
 
 
-def maximal(rows: DataFrame) -> DataFrame:
-    """``conv``: conversations that aren't the beginning of a longer one; of equal ones the first."""
-    marks = scratch(signatures(rows), "signatures")
+def maximal(marks: DataFrame) -> DataFrame:
+    """``conv``: conversations that aren't the beginning of a longer one; of equal ones the first. ``marks`` is of ``placed``."""
     key = ["n", *_SUMS]
     whole = marks.where("last").groupBy(*key).agg(F.min("conv").alias("conv"))
     begun = marks.where("not last").select(*key).distinct()
     return whole.join(begun, key, "left_anti").select("conv")
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``part``: runs of ``BLOCK`` rows of their block in the order of turn, role and text.
-
-    Rows are dealt by ranges of that order and numbered where they lie; the rows of the ranges before are added.
-    """
-    placed = rows.repartitionByRange("conv", "block", "turn", "role", F.substring("text", 1, LEAD))
-    placed = scratch(placed.withColumn("range", F.spark_partition_id()), "crowded-turns")
-    before = Window.partitionBy("conv", "block").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("conv", "block", "range")
-        .agg(F.count("*").alias("size"))
-        .select(
-            F.col("conv").alias("__c"),
-            F.col("block").alias("__b"),
-            F.col("range").alias("__r"),
-            F.coalesce(F.sum("size").over(before), F.lit(0)).alias("__before"),
-        )
-    )
-    inside = Window.partitionBy("conv", "block", "range").orderBy("turn", "role", "text")
-    at = F.floor((F.col("__i") + F.col("__before") - 1) / BLOCK).cast("string")
-    same = F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b")) & (F.col("range") == F.col("__r"))
-    return (
-        placed.withColumn("__i", F.row_number().over(inside))
-        .join(offsets, same)
-        .withColumn("part", F.concat_ws(":", "block", F.lpad(at, 12, "0")))
-        .select(*rows.columns, "part")
-    )
-
-
 def rendered(conversations: DataFrame) -> DataFrame:
     """Maximal conversations as chat text.
 
-    Returns ``conv_id, part, first_turn, n_turns, text``: a row for each ``BLOCK`` turn numbers of a conversation, so that
-    long ones aren't gathered whole; parts sorted by ``first_turn`` and ``part`` and put together are the
-    conversation. Turns of one number are sorted by role and text. A block of more than ``ROWS`` distinct rows has a row
-    for each ``BLOCK`` of them in that order, numbered in ``part``. Rows that repeat count once; a null role is
-    rendered as an empty one, a null text as no text, and both differ from empty ones when conversations are compared;
-    rows without ``conv_id`` are one conversation; an empty table gives no rows.
+    Returns ``conv_id, part, first_turn, n_turns, text``: a row for each ``BLOCK`` turns of a conversation, so that
+    long ones aren't gathered whole; its parts in order and put together are the conversation. Turns of one number are sorted by role
+    and text, nulls first. Rows that repeat count once; a null role is rendered as an empty one, a null text as no text, and both
+    differ from empty ones when conversations are compared; a null turn comes before all others; rows without ``conv_id`` are one
+    conversation; extra columns are ignored; an empty table gives no rows.
     """
-    rows = turns(conversations)
-    kept = scratch(maximal(rows), "maximal").select(F.col("conv").alias("__conv"))
+    marks = scratch(placed(turns(conversations)), "placed-turns")
+    kept = scratch(maximal(marks), "maximal").select(F.col("conv").alias("__conv"))
     line = F.concat(
         F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE + "\n")
     )
-    own = (
-        rows.join(kept, F.col("conv").eqNullSafe(F.col("__conv")), "left_semi")
-        .withColumn("block", _block())
-        .dropDuplicates(["conv", "turn", *_SUMS])
-    )
-    crowded = scratch(
-        own.groupBy(F.col("conv").alias("__c"), F.col("block").alias("__b")).agg(F.count("*").alias("rows")).where(F.col("rows") > ROWS),
-        "crowded-blocks",
-    )
-    parts = own.withColumn("part", F.col("block").cast("string"))
-    if not crowded.isEmpty():
-        among = F.col("conv").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b"))
-        parts = parts.join(crowded, among, "left_anti").unionByName(_ranked(own.join(crowded, among, "left_semi")))
+    own = marks.join(kept, F.col("conv").eqNullSafe(F.col("__conv")), "left_semi")
     return (
-        parts.groupBy("conv", "part")
+        own.withColumn("part", F.floor((F.col("n") - 1) / BLOCK))
+        .groupBy("conv", "part")
         .agg(
             F.min("turn").alias("first_turn"),
             F.count("*").alias("n_turns"),
-            F.array_sort(F.collect_list(F.struct("turn", "role", "text", line.alias("line")))).alias("lines"),
+            F.array_sort(F.collect_list(F.struct("n", line.alias("line")))).alias("lines"),
         )
         .select(
             F.col("conv").alias("conv_id"),
@@ -156,4 +115,3 @@ def rendered(conversations: DataFrame) -> DataFrame:
             F.array_join("lines.line", "").alias("text"),
         )
     )
-

@@ -183,18 +183,18 @@ with turn as (
 line as (
   select *, md5(turn || ':' || coalesce('r' || role, '') || ':' || coalesce('t' || text, '')) as h from turn),
 chain as (
-  select conv_id, turn, string_agg(h, '') over (partition by conv_id order by turn, role, text) as so_far,
-         row_number() over (partition by conv_id order by turn, role, text) as i,
-         row_number() over (partition by conv_id order by turn desc, role desc, text desc) as back
+  select conv_id, turn, role, text, string_agg(h, '') over (partition by conv_id order by turn, role nulls first, text nulls first) as so_far,
+         row_number() over (partition by conv_id order by turn, role nulls first, text nulls first) as i,
+         row_number() over (partition by conv_id order by turn desc, role desc nulls last, text desc nulls last) as back
   from line),
 whole as (select conv_id, so_far from chain where back = 1),
 kept as (
   select min(conv_id) as conv_id from whole
   where so_far not in (select so_far from chain where back > 1) group by so_far)
-select conv_id, cast(cast(floor(turn / 256) as bigint) as varchar) as part, min(turn) as first_turn, count(*) as n_turns,
+select c.conv_id, cast((i - 1) // 256 as bigint) as part, nullif(min(turn), -9223372036854775808) as first_turn, count(*) as n_turns,
        string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
-                  order by turn, role, text) as text
-from turn join kept using (conv_id) group by conv_id, floor(turn / 256)
+                  order by i) as text
+from chain c join kept k on c.conv_id is not distinct from k.conv_id group by c.conv_id, (i - 1) // 256
 """
 
 

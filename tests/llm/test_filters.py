@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from guestbook.llm import classifier, decontamination, linespread, outliers
 from guestbook.llm.classifier import classify, isotonic
+from guestbook.llm.common import prepared
 from guestbook.llm.textstats import base_stats
 from tests.llm.conftest import ODD, documents
 from tests.llm.words import prose
@@ -87,22 +90,170 @@ def test_outliers_go_and_the_bulk_stays(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
-def test_concentration_step_against_numpy(spark):
+def vectors(spark, groups):
+    """Rows ``lang, source`` and statistics, from ``{(lang, source): array}``."""
+    rows = [(*g, *map(float, v)) for g, x in groups.items() for v in x]
+    return spark.createDataFrame(rows, ["lang", "source", *outliers.NAMES])
+
+
+def estimates(spark, groups):
+    got = outliers.estimated(vectors(spark, groups)).collect()
+    return {r["stratum"].split("|=")[-1]: r for r in got}
+
+
+def squared(estimate, v):
+    cov = np.array(estimate["cov"]).reshape(6, 6)
+    off = np.asarray(v) - np.array(estimate["centre"])
+    return off @ np.linalg.solve(cov, off)
+
+
+def test_least_determinant_against_all_subsets(spark):
+    """Of all choices of the nearest rows none has a lesser determinant, and the estimate is that of the best."""
+    prepared(spark)
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(400, 6)) * 0.3
-    rows = spark.createDataFrame([("a", *map(float, r)) for r in x], ["stratum", *outliers.NAMES])
-    start = outliers._start(rows).first()
-    centre, whiten = np.array(start["centre"]), np.array(start["whiten"]).reshape(6, 6)
-    step = outliers._concentrated(rows, outliers._start(rows)).first()
-    d = (((x - centre) @ whiten.T) ** 2).sum(1)
-    near = np.argsort(d)[: int(np.ceil(0.75 * len(x)))]
-    assert np.abs(np.array(step["centre"]) - x[near].mean(0)).max() < 0.02
-    cov = outliers.CONSISTENCY * np.cov(x[near].T, bias=True) + np.diag(np.square(list(outliers.FLOORS.values())))
-    got = np.linalg.inv(np.array(step["whiten"]).reshape(6, 6))
-    assert np.abs(got @ got.T - cov).max() < 0.03
+    prior_centre, prior_cov = np.full(6, 0.1), np.diag(np.full(6, 0.04))
+    for case in range(3):
+        x = rng.normal(size=(13, 6)) * 0.3
+        x[:3] = 4 + rng.normal(size=(3, 6)) * (0.1 + case)
+        rows = spark.createDataFrame([("a", *map(float, r)) for r in x], ["stratum", *outliers.NAMES])
+        prior = spark.createDataFrame(
+            [("a", prior_centre.tolist(), prior_cov.ravel().tolist())], "stratum string, prior_centre array<double>, prior_cov array<double>"
+        )
+        got = outliers.minimum_determinant(rows, prior).first()
+        best = None
+        for chosen in itertools.combinations(range(13), 10):
+            part = x[list(chosen)]
+            centre, cov = outliers.regularised(
+                10, part.mean(0), outliers.CONSISTENCY * np.cov(part.T, bias=True), prior_centre, prior_cov
+            )
+            found = (np.linalg.slogdet(cov)[1], centre, cov)
+            best = found if best is None or found[0] < best[0] else best
+        assert got["logdet"] == pytest.approx(best[0], abs=0.02)
+        assert np.allclose(got["centre"], best[1], atol=1e-3)
+        assert np.allclose(np.array(got["cov"]).reshape(6, 6), best[2], atol=2e-3)
     assert abs(outliers.chi2_cdf(12.592, 6) - 0.95) < 1e-4
 
 
+def test_sources_of_different_covariance_judge_a_vector_differently(spark):
+    """Two sources with the same spread in every statistic and opposite correlations: the estimate decides, no constant does."""
+    prepared(spark)
+    rng = np.random.default_rng(5)
+    along, across = np.eye(6), np.eye(6)
+    along[0, 1] = along[1, 0] = 0.95
+    across[0, 1] = across[1, 0] = -0.95
+    draw = lambda c, n: rng.multivariate_normal(np.zeros(6), 0.01 * c, n)
+    got = estimates(spark, {("en", "along"): draw(along, 2500), ("en", "across"): draw(across, 2500)})
+    v = [0.18, 0.18, 0, 0, 0, 0]
+    assert squared(got["along"], v) < outliers.CUTOFF < squared(got["across"], v)
+    v[1] = -0.18
+    assert squared(got["across"], v) < outliers.CUTOFF < squared(got["along"], v)
+    for name, true in (("along", along), ("across", across)):
+        cov = np.array(got[name]["cov"]).reshape(6, 6)
+        assert np.abs(cov / 0.01 - true).max() < 0.25
+
+
+def test_outliers_do_not_move_the_estimate(spark):
+    """A fifth of the rows far off, in one place, which would hide each other from a plain covariance."""
+    prepared(spark)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1000, 6)) * 0.1
+    x[:200] = [1, 1, 1, 1, 1, 1] + rng.normal(size=(200, 6)) * 0.01
+    got = estimates(spark, {("en", "a"): x})["a"]
+    d = np.array([squared(got, v) for v in x])
+    assert (d[:200] > outliers.CUTOFF).all() and (d[200:] > outliers.CUTOFF).mean() < 0.005
+    plain = np.cov(x.T)
+    off = x - x.mean(0)
+    assert (np.einsum("ij,jk,ik->i", off, np.linalg.inv(plain), off)[:200] < outliers.CUTOFF).all()
+
+
+def test_small_sources_lean_on_their_language(spark):
+    """From one row to many a source's estimate goes from its language's to its own, without a jump."""
+    prepared(spark)
+    rng = np.random.default_rng(7)
+    small = rng.normal(size=(320, 6)) * 0.1 + 0.5
+    groups = {("en", "big"): rng.normal(size=(3000, 6)) * 0.1}
+    groups |= {("en", f"n{n}"): small[:n] for n in (1, 20, 80, 320)}
+    got = estimates(spark, groups)
+    assert len(got) == 5
+    centres = [float(np.mean(got[f"n{n}"]["centre"])) for n in (1, 20, 80, 320)]
+    assert centres == sorted(centres) and centres[0] < 0.05 and centres[-1] > 0.3
+    assert squared(got["big"], small[0]) > outliers.CUTOFF > squared(got["n320"], small[0])
+
+
+def test_statistics_of_texts():
+    rng = random.Random(8)
+    texts = ["a", "Ab a, B!", "é# É x\n\nyy 12", "😀 a 😀", "...", *(prose(rng, 80) for _ in range(5)), *(junk(rng, 60) for _ in range(5))]
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        chars = [c for w in words for c in w]
+        letters = [c.lower() for c in chars if c.isalpha()]
+        shares = [letters.count(c) / len(letters) for c in set(letters)]
+        logs = [math.log(len(w)) for w in words]
+        mean = sum(logs) / len(logs)
+        want = [
+            math.log(len(chars) / len(words)),
+            math.sqrt(sum((x - mean) ** 2 for x in logs) / len(logs)),
+            math.sqrt((sum(not c.isalnum() for c in chars) + 1) / (len(chars) + 1)),
+            math.sqrt((sum(c.isupper() for c in chars) + 1) / (len(chars) + 1)),
+            -sum(p * math.log2(p) for p in shares),
+            math.log(len({w.lower() for w in words})) / math.log(len(words) + 1),
+        ]
+        assert outliers._vector(text, *base_stats(text)[:2]) == pytest.approx(want)
+    assert outliers._vector("", 0, 0) == [0.0] * 6
+
+
+def test_verdicts_against_a_plain_estimate(spark):
+    """Every verdict of a corpus, against the same estimate made in one place with exact sorting."""
+    prepared(spark)
+    rng = random.Random(9)
+    rows, i = [], 0
+    for lang in ("en", "de", None):
+        for source, n in (("a", 260), ("b", 90), (None, 15)):
+            for _ in range(n):
+                rows.append((i, junk(rng, 80) if rng.random() < 0.08 else prose(rng, rng.randrange(55, 200)), lang, source))
+                i += 1
+    rows += [(i + k, rows[3][1], rows[3][2], rows[3][3]) for k in range(300)]  # a hot text counts once
+    got = {r["id"]: r for r in outliers.verdicts(documents(spark, rows)).collect()}
+
+    x = {}
+    for _, text, lang, source in rows:
+        n_words, chars, _, _, repeated = base_stats(text)
+        if n_words >= 50 and 100 * repeated <= 50 * n_words:
+            x[lang, source, text] = outliers._vector(text, n_words, chars)
+
+    def quartile(v):
+        q = np.quantile(v, [0.25, 0.5, 0.75], axis=0)
+        return q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2)
+
+    def plain(v, centre, target):
+        v = np.array(v)
+        c, cov = quartile(v)
+        cov = outliers.regularised(len(v), c, cov, c, target)[1]
+        for _ in range(30):
+            off = v - c
+            d = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+            near = v[np.argsort(d)[: math.ceil(0.75 * len(v))]]
+            spread = np.cov(near.T, bias=True) if len(near) > 1 else np.zeros((6, 6))
+            c, cov = outliers.regularised(len(near), near.mean(0), outliers.CONSISTENCY * spread, centre, target)
+        return c, cov
+
+    start = quartile(np.array(list(x.values())))
+    langs = {lang: plain([v for k, v in x.items() if k[0] == lang], *start) for lang in {k[0] for k in x}}
+    own = {g: plain([v for k, v in x.items() if k[:2] == g], *langs[g[0]]) for g in {k[:2] for k in x}}
+    d = {k: (v - own[k[:2]][0]) @ np.linalg.solve(own[k[:2]][1], v - own[k[:2]][0]) for k, v in x.items()}
+    roots = np.cbrt(list(d.values()))
+    q = np.quantile(roots, [0.5, 0.75])
+    cut = max(outliers.CUTOFF, (q[0] + outliers._FAR * (q[1] - q[0]) / outliers._QUARTILE) ** 3)
+    seen = Counter()
+    for doc_id, text, lang, source in rows:
+        want = d.get((lang, source, text))
+        assert got[doc_id]["base_failed"] == (want is None)
+        if want is not None and not 0.8 * cut < want < 1.25 * cut:  # estimates agree closely, not to the last digit
+            assert got[doc_id]["kept"] == (want <= cut)
+            seen[want <= cut] += 1
+    assert seen[True] > 900 and seen[False] > 40 and sum(seen.values()) > 0.98 * (len(rows) - 5)
+
+
 def test_verdicts_of_odd_rows(odd, none):
     got = outliers.verdicts(odd).collect()
     assert len(got) == len(ODD) and not any(r["kept"] for r in got)

@@ -103,6 +103,7 @@ def disclosures(docs: DataFrame) -> DataFrame:
     masked = "aggregate(spans, line, (t, s) -> overlay(t placing repeat(' ', s.stop - s.start) from s.start + 1 for s.stop - s.start))"
     facts = scratch(
         marked.select(
+            F.unhex(F.md5("line")).alias("line"),
             F.expr("array_distinct(transform(spans, s -> concat(s.kind, ':', substring(line, s.start + 1, s.stop - s.start))))").alias(
                 "entities"
             ),
@@ -110,10 +111,16 @@ def disclosures(docs: DataFrame) -> DataFrame:
         ),
         "entity-lines",
     )
-    entities = facts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # Neither an entity nor a term of fewer than SUPPORT lines can stand with another on so many: they make no pairs.
+    of_line = facts.select("line", F.explode("entities").alias("entity"))
+    entities = of_line.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    entities = scratch(entities, "entities")
+    terms = facts.select("line", F.explode("terms").alias("term"))
+    # The lines of entities alone show of most terms, all common ones among them, that they disclose too little.
+    seen = scratch(terms.groupBy("term").agg(F.count("*").alias("n_seen")).where(F.col("n_seen") >= SUPPORT), "seen-terms")
     together = (
-        facts.select(F.explode("entities").alias("entity"), "terms")
-        .select("entity", F.explode("terms").alias("term"))
+        of_line.join(entities.select("entity"), "entity", "left_semi")
+        .join(terms.join(seen.select("term"), "term", "left_semi"), "line")
         .groupBy("entity", "term")
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= SUPPORT)
@@ -126,8 +133,6 @@ def disclosures(docs: DataFrame) -> DataFrame:
         """Mutual information of term and entity against the entity's own."""
         return 1 + F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col(n_term))) / information
 
-    # The lines of entities alone show of most terms, all common ones among them, that they disclose too little.
-    seen = facts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_seen"))
     together = scratch(
         together.join(entities, "entity").join(seen, "term").where(share("n_seen") >= GENERALISE), "together"
     )
@@ -158,17 +163,18 @@ def _revealing(docs: DataFrame) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__base`` and ``__spans``, both sorted."""
+    """``__row``, the columns of ``docs``, and ``__base`` and ``__spans``, both sorted."""
     found = scratch(_revealing(docs), "revealing").select(F.col("key").alias("__key"), "general", "removed")
     found = found.select("__key", F.struct("general", "removed").alias("__terms"))
     kind = "if(array_contains(__terms.removed, lower(v.m)), 'removed', 'general')"
     made = f"named_struct('start', v.start, 'rank', if({kind} = 'removed', {_ORDER['removed']}, {_ORDER['general']}), 'kind', {kind}, 'stop', v.stop)"
     keep = "array_contains(__terms.removed, lower(m)) or array_contains(__terms.general, lower(m))"
-    places = _places("coalesce(text, '')", TERM, keep, made, _SPANS)
+    places = _places("coalesce(__row.text, '')", TERM, keep, made, _SPANS)
     free = "filter(__found, t -> not exists(__base, b -> t.start < b.stop and b.start < t.stop))"
     return (
-        docs.join(found, text_key(docs["text"]) == F.col("__key"), "left")
-        .withColumn("__base", F.array_sort(base_spans()))
+        docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+        .join(found, text_key(F.col("__row.text")) == F.col("__key"), "left")
+        .withColumn("__base", F.array_sort(base_spans("coalesce(__row.text, '')")))
         .withColumn("__found", F.expr(f"if(__terms is null, cast(array() as {_SPANS}), {places})"))
         .withColumn("__spans", F.array_sort(F.concat("__base", F.expr(free))))
         .drop("__key", "__terms", "__found")
@@ -185,16 +191,19 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     Null and empty texts have none. Rows that repeat have the same spans; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_column).alias("id"), "text")
-    return _with_spans(rows).select("id", F.col("__base").alias("base"), F.col("__spans").alias("spans"))
+    return _with_spans(rows).select("__row.id", F.col("__base").alias("base"), F.col("__spans").alias("spans"))
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by what stands for its kind; of overlapping spans the first counts."""
+    """``docs`` with every span replaced by what stands for its kind; of overlapping spans the first counts.
+
+    Further columns stay as they are, whatever their names.
+    """
     shown = "element_at(map(" + ", ".join(f"'{k}', '{v}'" for k, v in SHOWN.items()) + "), s.kind)"
     text = f"""aggregate(__spans, named_struct('at', 0, 'out', ''),
         (a, s) -> if(s.start < a.at, a, named_struct('at', s.stop, 'out',
-            concat(a.out, substring(text, a.at + 1, s.start - a.at), {shown}))),
-        a -> concat(a.out, substring(text, a.at + 1)))"""
-    clean = F.when(F.size("__spans") > 0, F.expr(text)).otherwise(F.col("text"))
-    columns = [clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+            concat(a.out, substring(__row.text, a.at + 1, s.start - a.at), {shown}))),
+        a -> concat(a.out, substring(__row.text, a.at + 1)))"""
+    clean = F.when(F.size("__spans") > 0, F.expr(text)).otherwise(F.col("__row.text"))
+    columns = [(clean if c == "text" else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns]
     return _with_spans(docs).select(*columns)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from guestbook.llm import privacy
 from guestbook.llm.privacy import disclosures, personal_data, sanitised
 from tests.llm.conftest import ODD, documents
@@ -90,3 +92,24 @@ def test_odd_rows(odd, none):
     assert sanitised(odd).columns == odd.columns
     assert sorted(map(repr, (r["text"] for r in sanitised(odd).collect()))) == sorted(repr(r[1]) for r in ODD)
     assert personal_data(none).count() == 0
+
+
+def test_lines_of_many_entities_make_no_pairs_without_support(spark):
+    """A line of thousands of addresses that stand nowhere else is none the longer for it."""
+    crowded = " ".join(f"u{i}@h{i}.example" for i in range(3000))
+    lines = [f"met qorvan{i % 3} here write to boss@corp.example now{i}" for i in range(9)] + ["other words"] * 40
+    rows = [(i, x, "en", "s") for i, x in enumerate([*lines, crowded, crowded + " and more"])]
+    got = {r["term"]: r["disclosure"] for r in disclosures(documents(spark, rows)).collect()}
+    assert {"qorvan0", "qorvan1", "qorvan2"} <= set(got) and not any(t.startswith("now") for t in got)
+    assert len(found(documents(spark, rows), "base")[len(rows) - 1]) == 3000
+
+
+def test_names_of_callers_stay(spark):
+    docs = documents(spark, [(1, "write to a@b.c", "en", "s"), (2, None, "en", "s")])
+    for name in ("__row", "__key", "__base", "__spans", "__terms", "__found", "general", "removed", "line", "term"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id")))
+    got = sanitised(docs)
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in docs.columns[9:])
+        assert r["text"] == ("write to [EMAIL]" if r["doc_id"] == 1 else None)

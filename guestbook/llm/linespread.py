@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guestbook.llm.common import SPACE, scratch, text_key
+from guestbook.llm.common import SPACE, scratch, text_key, unused
 
 SITES = 5
 #: log2 of a sketch's registers; its standard error is 1.04 / sqrt(2 ** 12), or 1.6 %.
@@ -86,26 +86,28 @@ def removals(docs: DataFrame, sites: int = SITES, site: str = "source", id_colum
 def without_boilerplate(docs: DataFrame, sites: int = SITES, keep_empty: bool = True) -> DataFrame:
     """``docs`` without lines that stand on at least ``sites`` sources; columns and other lines unchanged.
 
-    Adds nothing but ``__lines`` and ``__removed``, which callers drop. Null and empty texts stay as they are; a null
+    Adds two last columns, the lines and those of them removed, named ``__lines`` and ``__removed`` or, where ``docs`` has
+    such names, the like with more underscores. Null and empty texts stay as they are; a null
     source is no site; a document without an id is never the first of a line; equal rows lose the
     same lines; an empty table gives no rows. With ``keep_empty=False`` documents that lose all their lines go.
     """
+    n_lines, removed, id_, key, places, rest = unused(docs, "__lines", "__removed", "__id", "__key", "__places", "__kept")
     lost = removals(docs, sites).select(
-        F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("places").alias("__places")
+        F.col("id").alias(id_), F.col("key").alias(key), F.col("places").alias(places)
     )
     joined = docs.join(
-        lost, (text_key(docs["text"]) == lost["__key"]) & docs["doc_id"].eqNullSafe(lost["__id"]), "left"
+        lost, (text_key(docs["text"]) == lost[key]) & docs["doc_id"].eqNullSafe(lost[id_]), "left"
     )
-    kept = F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains(F.col("__places"), i))
+    kept = F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains(F.col(places), i))
     out = joined.withColumns(
         {
-            "__lines": F.coalesce(F.size(F.filter(_lines(F.col("text")), lambda x: _trimmed(x) != "")), F.lit(0)),
-            "__removed": F.coalesce(F.size("__places"), F.lit(0)),
-            "__kept": F.when(F.col("__places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
+            n_lines: F.coalesce(F.size(F.filter(_lines(F.col("text")), lambda x: _trimmed(x) != "")), F.lit(0)),
+            removed: F.coalesce(F.size(places), F.lit(0)),
+            rest: F.when(F.col(places).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
         }
     )
     if not keep_empty:
-        out = out.where((F.col("__removed") == 0) | (F.col("__removed") < F.col("__lines")))
+        out = out.where((F.col(removed) == 0) | (F.col(removed) < F.col(n_lines)))
     return out.select(
-        *(F.col("__kept").alias("text") if c == "text" else docs[c] for c in docs.columns), "__lines", "__removed"
+        *(F.col(rest).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), n_lines, removed
     )

@@ -1,8 +1,8 @@
 """Mixing sources to target weights through a multivariate-hypergeometric splitting tree.
 
 Every source's documents are cut into blocks by a hash, about ``BLOCK_ROWS`` rows each, whose order is a
-random permutation. A source is passed over ``passes`` whole times and once more in part, up to the block,
-and in it the document, in which its target is reached; the quota of a source is the number of block
+random permutation. A source is passed over ``passes`` whole times and once more in part, up to the block
+in which its target is reached, and of that block as many whole documents as fit; the quota of a source is the number of block
 draws this takes. A binary tree then deals the quotas out to the shards: at each node the left child
 gets half of the draws, of each source as many as a multivariate-hypergeometric draw says, and the right
 child the rest. All quotas are thus used up exactly, and every shard holds the mixture in small. A shard takes
@@ -14,11 +14,13 @@ within a source, and only the last block of each source document by document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from guestbook.llm.common import SPACE, WORD, scratch, text_key
+from guestbook.llm.common import WORD, scratch, text_key, unused
 
 WEIGHTS = (5, 2, 1)
 #: Words of the mix against words of all documents, and of a source's target against its own.
@@ -30,14 +32,13 @@ BLOCK_ROWS = 256
 
 
 def sized(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with the words of every document, and its place in the permutation of its source."""
-    return docs.withColumns(
-        {
-            "__id": F.col(id_column),
-            "__key": text_key(F.col("text")),
-            "__source": F.col("source").cast("string"),
-            "__size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-        }
+    """``__row``, the columns of ``docs``, the words of every document, and its place in the permutation of its source."""
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"),
+        F.col(id_column).alias("__id"),
+        text_key(F.col("text")).alias("__key"),
+        F.col("source").cast("string").alias("__source"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"),
     ).withColumn("__place", F.xxhash64(F.lit(SEED), "__source", "__id", "__key"))
 
 
@@ -120,6 +121,39 @@ def _plan(rows: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def fold_and(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, parts)
+
+
+def _fitting(last: DataFrame) -> DataFrame:
+    """``__source, __place, __id, __key, __take``: how many of equal rows of a last block are taken, whole.
+
+    In the permuted order each document is taken that still fits into the words wanted; at the end the shortest of those
+    left out is taken too if that comes nearer. A source's array has a block's documents, equal ones once.
+    """
+    of_source = (
+        last.where("__size > 0")
+        .groupBy("__source", "__place", "__id", "__key", "__size")
+        .agg(F.count("*").alias("n"), F.first("__plan.wanted").alias("wanted"))
+        .groupBy("__source")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("__place", "__id", "__key", "__size", "n"))).alias("docs"),
+            F.first("wanted").alias("wanted"),
+        )
+    )
+    fit = """aggregate(docs, named_struct('left', wanted, 'takes', cast(array() as array<bigint>)),
+        (a, d) -> transform(array(least(d.n, a.left div d.__size)), t ->
+            named_struct('left', a.left - t * d.__size, 'takes', concat(a.takes, array(t))))[0])"""
+    each = of_source.withColumn("fit", F.expr(fit)).select(
+        "__source", "fit.left", F.explode(F.expr("zip_with(docs, fit.takes, (d, t) -> named_struct('d', d, 't', t))")).alias("e")
+    )
+    out = F.col("e.t") < F.col("e.d.n")
+    shortest = F.min(F.when(out, F.struct("e.d.__size", "e.d.__place", "e.d.__id", "e.d.__key"))).over(Window.partitionBy("__source"))
+    mine = F.struct("e.d.__size", "e.d.__place", "e.d.__id", "e.d.__key").eqNullSafe(shortest)
+    more = F.when(out & mine & (2 * F.col("left") >= F.col("e.d.__size")), 1).otherwise(0)
+    return each.select("__source", "e.d.__place", "e.d.__id", "e.d.__key", (F.col("e.t") + more).alias("__take"))
+
+
 def _allotted(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows``, which :func:`sized` made, with ``__plan`` (of the source), ``__block`` and ``__extra`` words."""
     columns = [c for c in plan.columns if c != "__of"]
@@ -129,16 +163,17 @@ def _allotted(rows: DataFrame, plan: DataFrame) -> DataFrame:
         .drop("__of")
         .withColumn("__block", _block(F.col("__plan.n_docs"), F.col("__place")))
     )
-    # Of each source only its last block, whose rows don't grow with the source, is ranked by document.
-    inside = (
-        Window.partitionBy("__source", "__block")
-        .orderBy("__place", "__id", "__key")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("__size").over(inside), F.lit(0))
-    left = F.col("__plan.wanted") - before
-    ends = placed.where(F.col("__block") == F.col("__plan.last_block")).withColumn(
-        "__extra", F.greatest(F.lit(0), F.least(F.col("__size"), left)).cast("long")
+    # Of each source only its last block, whose documents don't grow with the source, is gone through one by one.
+    last = placed.where(F.col("__block") == F.col("__plan.last_block"))
+    same = ["__source", "__place", "__id", "__key"]
+    fitting = scratch(_fitting(last), "last-blocks")
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("__size"))
+    fits = [F.col(c).eqNullSafe(F.col(f"__l{c}")) for c in same]
+    ends = (
+        last.withColumn("__nth", nth)
+        .join(fitting.select(*(F.col(c).alias(f"__l{c}") for c in same), "__take"), fold_and(fits), "left")
+        .withColumn("__extra", F.when(F.col("__nth") <= F.col("__take"), F.col("__size")).otherwise(0).cast("long"))
+        .drop("__nth", "__take", *(f"__l{c}" for c in same))
     )
     others = placed.where(F.col("__block") != F.col("__plan.last_block")).withColumn(
         "__extra", F.when(F.col("__block") < F.col("__plan.last_block"), F.col("__size")).otherwise(0).cast("long")
@@ -157,8 +192,8 @@ def taken(docs: DataFrame, id_column: str = "doc_id", shards: int = SHARDS) -> D
 
     Returns ``id, key, source, size, source_size, target, taken, passes, extra, shards``: ``taken`` words, summed
     over the copies that the tree deals to shards, are ``passes`` whole copies and ``extra`` words more; ``shards`` has
-    the shard of each copy in turn. The document at which the target is reached is
-    cut, so that a source's words meet its rounded target exactly. Null and empty texts have no words and are
+    the shard of each copy in turn. Documents are taken whole: a source's words miss its target by half of
+    the shortest document left out at most. Null and empty texts have no words and are
     taken with none; a null source is a source of its own, the last; equal rows are separate documents; an
     empty table gives no rows.
     """
@@ -287,21 +322,19 @@ def _copies(rows: DataFrame, plan: DataFrame, shards: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mix: a row for each copy taken, its text cut to the words taken.
+    """The mix: a row for each copy taken, its text whole.
 
     The columns of ``docs`` and ``mix_copy`` (0 the first), ``mix_words``, ``mix_shard`` and ``mix_position``, by
-    which a shard is sorted when it is written: the local shuffle. Documents without words aren't drawn.
+    which a shard is sorted when it is written: the local shuffle. Documents without words aren't drawn. Where ``docs``
+    has one of these names, the new column gets more underscores at its end.
     """
     _, plan = _planned(docs, "doc_id")
     copies = _copies(sized(docs), plan, shards)
-    # Possessive, so that the matcher loops instead of nesting.
-    first_words = F.concat(F.lit(rf"^(?:[{SPACE}]*+{WORD}+){{"), F.col("__copy.words").cast("string"), F.lit("}+"))
-    cut = F.call_function("regexp_extract", F.col("text"), first_words, F.lit(0))
-    text = F.when(F.col("__copy.words") >= F.col("__size"), F.col("text")).otherwise(cut)
+    copy, words, shard, position = unused(docs, "mix_copy", "mix_words", "mix_shard", "mix_position")
     return copies.select(
-        *(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-        F.col("__copy.copy").alias("mix_copy"),
-        F.col("__copy.words").alias("mix_words"),
-        F.col("__shard").alias("mix_shard"),
-        F.col("__position").alias("mix_position"),
+        *(F.col(f"__row.`{c}`").alias(c) for c in docs.columns),
+        F.col("__copy.copy").alias(copy),
+        F.col("__copy.words").alias(words),
+        F.col("__shard").alias(shard),
+        F.col("__position").alias(position),
     )

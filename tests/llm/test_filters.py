@@ -299,6 +299,19 @@ def test_lines_of_odd_rows(odd, none):
     assert linespread.without_boilerplate(none).count() == 0
 
 
+def test_line_dedup_leaves_names_of_callers(spark):
+    prepared(spark)
+    docs = documents(spark, [(i, f"shared by all\nown {i}", "en", f"s{i}") for i in range(6)])
+    names = ("__lines", "__removed", "__id", "__key", "__places", "__kept", "id", "line", "first")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id")))
+    got = linespread.without_boilerplate(docs)
+    assert got.columns == [*docs.columns, "__lines_", "__removed_"]
+    for r in got.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in names)
+        assert r["text"] == (f"own {r['doc_id']}" if r["doc_id"] else "shared by all\nown 0")
+
+
 def plain_overlaps(text, items):
     def words(t):
         t = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")

@@ -138,3 +138,27 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (200, 200)], "a long, b long")
     got = {(r["node"], r["root"]) for r in components(edges).collect()}
     assert got == {(i, 0) for i in range(41)} | {(100, 100), (101, 100), (200, 200)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_edges(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(40 + 30 * seed)]
+    edges += [(200, 200), (7, 300), (300, 7), (7, 300)] + [(k, 500) for k in range(400, 440)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    got = components(spark.createDataFrame(edges, "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == {(x, find(x)) for x in root}
+    assert got.count() == len(root)
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,11 +1,11 @@
 """Similarity join on five-word shingles by T-occurrence search.
 
 Two sets are linked if they share enough, so a linked set must occur often enough in the inverted lists of
-a set's shingles. The lists are those of the shingles of least hash: of a set of n, all below ``SAMPLE / n`` of the
-hash range, and all if n <= SAMPLE. In the way of DivideSkip, short lists (up to ``SHORT`` sets) are merged, that
-is, joined with themselves and counted by pair, and long ones are set aside: a pair stays if it occurs in
-``LEAST`` of the larger set's lists when it is taken to occur in all the long ones. What stays is probed by
-binary search in the whole sorted sets, which decides.
+a set's shingles. The lists are those of the shingles of least hash, of each set so many that linked sets have some of them
+in common: of all shingles they share, no more can come later in the order of hashes than one of the two has left. In the way of
+DivideSkip, short lists (up to ``SHORT`` sets) are merged, that is, joined with themselves and counted by pair, and long ones
+are set aside: a pair stays if it could reach what it must have in common when it is taken to occur in all the long ones.
+What stays is probed by binary search in the whole sorted sets, which decides.
 
 Sets of which many lists are long are merged a second time, among themselves and by the lists of all their
 shingles: if fewer of these are long than a linked set must share, that one occurs in a short one. Sets beyond that
@@ -16,9 +16,8 @@ inequality of the Jaccard distance leaves about a star is compared by the shingl
 centre, of which linked sets share many, and only pairs that share one of their rarest are probed. Sets about no star
 are compared by the rarest of all their shingles.
 
-Equal sets are one node, so copies never meet as pairs. What is left to chance is the order of the shingles'
-64-bit hashes: that a linked pair shares no short list has a chance under exp(-SAMPLE * (0.75 - LONG_SHARE)). ``sample=None``
-looks at all lists and leaves nothing to it.
+Equal sets are one node, so copies never meet as pairs. Nothing is sampled: every set is looked up by as many lists as
+a link needs, and nothing but the shingles' 64-bit hashes stands for the shingles.
 """
 
 from __future__ import annotations
@@ -39,12 +38,12 @@ from guestbook.llm.components import components
 SHINGLE = 5
 #: Linked: 100 * shared >= PERCENT * union.
 PERCENT = 75
-SAMPLE = 80
 SHORT = 40
-#: Share of the larger set's lists in which a pair must occur, long lists taken to hold it.
-LEAST = 0.35
-#: A set is merged a second time if more than this share of its lists is long.
-LONG_SHARE = 0.45
+#: Linked sets have more than this share of the lists they are looked up by in common, and a set is merged a second time if more
+#: of its lists are long. The number of lists follows: a quarter of a set for 0, 5/18 of it for 0.1.
+LONG_SHARE = 0.08
+#: Lists that a caller may ask for instead: none, as all that a link needs are looked up.
+SAMPLE = None
 #: Rounds of stars; sets without one afterwards are centres themselves.
 ROUNDS = 3
 #: Sizes of sets up to this many times each other are of one band.
@@ -60,27 +59,37 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(words), min(SHINGLE, len(words))))
 
 
-def _marked(most: int | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _left() -> int:
+    """Thousandths of a set that aren't looked up."""
+    share = PERCENT / 100
+    return int(1000 * (share - LONG_SHARE) / (1 - LONG_SHARE))
+
+
+def _beyond(n: str) -> str:
+    """SQL: how many shingles of a set of ``n`` aren't looked up."""
+    return f"(({_left()} * {n} + 999) div 1000 - 1)"
+
+
+def _marked(left: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for text in batch["text"]:
                 found = shingles(text)
                 n = len(found)
-                whole = most is None or n <= most
-                sample = found if whole else found[: np.searchsorted(found, np.uint64(int(most / n * 2**64)))]
-                out.append((xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63, n, signed(sample)))
-            marks = pd.DataFrame(out, columns=["sid", "n", "sample"])
+                first = found[: n + 1 - (left * n + 999) // 1000]
+                out.append((xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63, n, signed(first)))
+            marks = pd.DataFrame(out, columns=["sid", "n", "first"])
             yield pd.concat([batch[["id", "key"]].reset_index(drop=True), marks], axis=1)
 
     return marked
 
 
-def marks(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAMPLE) -> DataFrame:
-    """``id, key, sid, n, sample``: the set of every document (``sid``), its size, and the lists it stands in."""
+def marks(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``id, key, sid, n, first``: the set of every document (``sid``), its size, and the lists it is looked up by."""
     ids = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_key(F.col("text")).alias("key"), "text")
-    return rows.mapInPandas(_marked(sample), f"id {ids}, key binary, sid long, n long, sample array<long>")
+    return rows.mapInPandas(_marked(_left()), f"id {ids}, key binary, sid long, n long, first array<long>")
 
 
 def _probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,21 +122,30 @@ def _alike(n: str, m: str) -> str:
     return f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})"
 
 
+def _must(n: str, m: str) -> str:
+    """SQL: how many shingles linked sets of these sizes share at least."""
+    return f"(({PERCENT} * ({n} + {m}) + {99 + PERCENT}) div {100 + PERCENT})"
+
+
 def _merged(lists: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` that occur often enough in the short lists."""
-    short = lists.where(F.col("held") <= SHORT).select("token", "sid", "n", "lists", "long")
-    left = short.select("token", *(F.col(c).alias(f"{c}_a") for c in ("sid", "n", "lists", "long")))
-    right = short.select("token", *(F.col(c).alias(f"{c}_b") for c in ("sid", "n", "lists", "long")))
+    """Pairs ``(a, b)`` that occur often enough in the short lists.
+
+    Of what two sets share, all up to the last list of one of them is in lists of both; beyond it that one has no more than is not
+    looked up. The rest must be seen.
+    """
+    short = lists.where(F.col("held") <= SHORT).select("token", "sid", "n", "long")
+    left = short.select("token", *(F.col(c).alias(f"{c}_a") for c in ("sid", "n", "long")))
+    right = short.select("token", *(F.col(c).alias(f"{c}_b") for c in ("sid", "n", "long")))
     return (
         left.join(right, "token")
         .where(f"sid_a < sid_b and {_alike('n_a', 'n_b')}")
         .groupBy(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
         .agg(
             F.count("*").alias("c"),
-            F.first(F.expr("if(n_a > n_b, lists_a, lists_b)")).alias("lists"),
+            F.first(F.expr(f"{_must('n_a', 'n_b')} - {_beyond('greatest(n_a, n_b)')}")).alias("least"),
             F.first(F.least("long_a", "long_b")).alias("long"),
         )
-        .where(F.col("c") + F.col("long") >= LEAST * F.col("lists"))
+        .where("c + long >= least")
         .select("a", "b")
     )
 
@@ -316,10 +334,10 @@ def _by_rarest(rarest: DataFrame) -> DataFrame:
     return pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
 
 
-def _between(stars: DataFrame, lists: DataFrame, rarest: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between members of different stars."""
+def _between(stars: DataFrame, whole: DataFrame, rarest: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between members of different stars. ``whole`` are all shared shingles of the sets."""
     reach = scratch(stars.groupBy("centre").agg(F.max("distance").alias("reach")), "reach")
-    held = lists.join(reach.withColumnRenamed("centre", "sid"), "sid").select("token", "sid", "lists", "reach")
+    held = whole.join(reach.withColumnRenamed("centre", "sid"), "sid").select("token", "sid", "reach")
     held = scratch(held, "centre-lists")
     limit = 1 - PERCENT / 100 + 1e-9
     hubs = held.where("reach > 0").select("token", F.col("sid").alias("a"), F.col("reach").alias("reach_a"))
@@ -343,7 +361,7 @@ def _between(stars: DataFrame, lists: DataFrame, rarest: DataFrame, texts: DataF
     return links.unionByName(probed(rest, texts).where("linked").select("a", "b"))
 
 
-def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAMPLE) -> DataFrame:
+def similar(docs: DataFrame, id_column: str = "doc_id", sample: None = SAMPLE) -> DataFrame:
     """``id, key, n, group, component`` of every document: its shingles, a number for those it is linked with, through
     others too, and the least id of these.
 
@@ -351,21 +369,22 @@ def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAM
     with nothing: their component is their own id. Rows that repeat share a component; a null id never is a
     component's id unless all its documents lack one; an empty table gives no rows.
 
-    ``sample`` None looks up the lists of all shingles: then nothing is left to chance but hashes, for as many more rows
-    as the sets are larger than ``SAMPLE``.
+    All links are found; ``sample`` can only be None.
     """
-    rows = scratch(marks(docs, id_column, sample), "marks")
-    postings = rows.select("sid", "n", F.size("sample").alias("lists"), F.explode("sample").alias("token"))
+    if sample is not None:
+        raise ValueError("no sample of the lists finds all links")
+    rows = scratch(marks(docs, id_column), "marks")
+    postings = rows.select("sid", "n", F.explode("first").alias("token"))
     tokens = postings.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     live = scratch(postings.join(tokens, "token", "left_semi").distinct(), "postings")
     held = live.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
     lists = live.join(held, "token")
     long = lists.groupBy("sid").agg(
-        F.sum((F.col("held") > SHORT).cast("int")).alias("long"), (F.sum("held") / F.first("lists")).alias("weight")
+        F.sum((F.col("held") > SHORT).cast("int")).alias("long"), (F.sum("held") / F.first("n")).alias("weight")
     )
     lists = scratch(lists.join(long, "sid"), "lists")
     pairs = scratch(_merged(lists), "pairs")
-    gathered = lists.where((F.col("held") > SHORT) & (F.col("long") > LONG_SHARE * F.col("lists")))
+    gathered = lists.where((F.col("held") > SHORT) & F.expr(f"1000 * long > ({10 * PERCENT} - {_left()}) * n"))
 
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(gathered.select("sid")).distinct()
     chosen = rows.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key"))
@@ -385,7 +404,7 @@ def similar(docs: DataFrame, id_column: str = "doc_id", sample: int | None = SAM
     if not gathered.isEmpty():
         stars = scratch(_stars(gathered, texts), "stars")
         links = scratch(links.unionByName(stars.where("sid <> centre").select(F.col("sid").alias("a"), F.col("centre").alias("b"))), "links")
-        links = scratch(_between(stars, lists, scratch(_rarest(whole), "rarest"), texts, links), "links")
+        links = scratch(_between(stars, whole, scratch(_rarest(whole), "rarest"), texts, links), "links")
 
     roots = components(links)
     group = F.when(F.col("n") > 0, F.coalesce("root", "sid"))

@@ -109,6 +109,50 @@ def test_all_lists_leave_nothing_to_chance(spark, monkeypatch):
     assert sorted(((r["id"], r["n"], r["component"]) for r in got), key=repr) == brute(rows)
 
 
+def steered(rng, words, more, low, high):
+    """``words`` and ``more`` others, by each of which the text gains a shingle between these shares of the hash range."""
+    words = list(words)
+    while more:
+        word = f"w{rng.randrange(10**9)}"
+        (last,) = shingles(" ".join([*words[-4:], word]))
+        if low <= int(last) / 2**64 < high:
+            words.append(word)
+            more -= 1
+    return words
+
+
+@pytest.mark.parametrize("size, own", [(343, 57), (86, 14), (1029, 171)])
+def test_links_where_no_shingle_of_least_hash_is_shared(spark, size, own):
+    """What linked sets share may all come after what they have alone."""
+    rng = random.Random(size)
+    base = steered(rng, "to begin with four".split(" "), size, 0.35, 1)
+    rows = [(i, " ".join(steered(rng, base, own, 0, 0.05))) for i in range(3)]
+    rows += [(3, " ".join(steered(rng, base, own + size // 12, 0, 0.05)))]
+    want = brute(rows)
+    assert [c for _, _, c in want] == [0, 0, 0, 3]
+    assert found(documents(spark, rows)) == want
+
+
+@pytest.mark.parametrize("short, share", [(1, 0.0), (2, 0.08), (40, 0.08)])
+def test_few_lists_lose_no_link(spark, monkeypatch, short, share):
+    """Families of many sizes, cut short and edited, at the threshold and about it."""
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "LONG_SHARE", share)
+    rng = random.Random(19)
+    texts = []
+    for words in (8, 11, 30, 90, 400):
+        base = prose(rng, words)
+        texts += [base] + [" ".join(base.split(" ")[: rng.randrange(words * 7 // 10, words)]) for _ in range(8)]
+        texts += [edited(rng, base, rng.randrange(1, 1 + words // 20 + 1)) for _ in range(8)]
+    rows = list(enumerate(texts))
+    assert found(documents(spark, rows)) == brute(rows)
+
+
+def test_a_sample_is_refused(spark):
+    with pytest.raises(ValueError):
+        similar(documents(spark, corpus(3)[:3]), sample=80)
+
+
 def test_clashing_names(spark):
     rows = corpus(3)[:12] + corpus(3)[:3]
     docs = documents(spark, rows).withColumn("__id", F.lit("mine")).withColumn("__key", F.lit(1)).withColumn("__KEY_", F.lit(2))

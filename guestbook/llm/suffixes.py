@@ -156,10 +156,8 @@ def repeated_strings(owner: np.ndarray, before: np.ndarray, data: list[bytes], k
     matrix[:, :4] = owner.astype(">u4").view(np.uint8).reshape(n, 4)
     begin = AROUND - 1 - before
     length = np.fromiter(map(len, data), np.int64, n)
-    flat = np.frombuffer(b"".join(data), np.uint8)
-    rows = np.repeat(np.arange(n), length)
-    columns = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length) + np.repeat(begin, length)
-    matrix[rows, 4 + columns] = flat
+    for row, start, string in zip(matrix, (4 + begin).tolist(), data, strict=True):
+        row[start : start + len(string)] = np.frombuffer(string, np.uint8)
     final = begin + length - LENGTH  # the last column at which a row has a whole string
     low, high = np.full(n, AROUND, np.int64), np.full(n, -1, np.int64)
     cover = set(difference_cover(COVER))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -55,6 +56,20 @@ def test_crowded_anchors_give_the_same(spark, monkeypatch):
     assert found(docs) == sorted(brute(some))
 
 
+def test_a_large_bucket_takes_little_memory():
+    """A few kilobytes a context, as a task may hold ``CROWD`` of them."""
+    rng = random.Random(8)
+    shared, n = rng.randbytes(suffixes.LENGTH - 1), 4096
+    before = np.array([rng.randrange(suffixes.AROUND) for _ in range(n)])
+    data = [rng.randbytes(b) + shared + bytes([i % 250]) for i, b in enumerate(before.tolist())]
+    tracemalloc.start()
+    low, high = suffixes.repeated_strings(np.zeros(n, np.int64), before, data, np.zeros(n, bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (high == suffixes.AROUND - 1).all() and (low > suffixes.AROUND - 6).all()
+    assert peak < 3000 * n
+
+
 def test_blocks_keep_anchors_whole(spark):
     rng = random.Random(3)
     passage = prose(rng, 60)

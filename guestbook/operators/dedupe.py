@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from guestbook.functions.keys import natural_key
-from guestbook.session import stage
+from guestbook.session import stage_spare
 
 #: Marks for fingerprints of repeated rows, a power of two. A fuller table sends more rows through the shuffle, none astray.
 MARKS = 1 << 24
@@ -38,22 +38,23 @@ def distinct_keyed(df: DataFrame, key: str = "id", natural: Sequence[str] | None
 def distinct_rows(df: DataFrame, marks: int = MARKS) -> DataFrame:
     """Distinct whole rows, of which those that stand once aren't shuffled.
 
-    Sixteen bytes stand for a row and are counted. Those met twice or more set a mark each, in a table of at most ``marks`` bits that
+    Eight bytes stand for a row and are counted. Those met twice or more set a mark each, in a table of at most ``marks`` bits that
     Spark broadcasts if its size allows. A row without a mark stands once and goes straight through; the others, among them all that
     repeat, are compared whole. Two rows that share a mark by chance therefore both stay. The frame is read three times, twice where
     nothing repeats, which costs less than moving its texts once.
     """
     names = df.columns
-    fingerprint = F.struct(F.xxhash64(*map(_quoted, names)), F.xxhash64(F.lit(1), *map(_quoted, names)))
-    place = F.pmod(F.xxhash64(*map(_quoted, names)), F.lit(marks))
-    counts = df.select(fingerprint.alias("f"), place.alias("place")).groupBy("f", "place").agg(F.count("*").alias("n"))
+    fingerprint = F.xxhash64(*map(_quoted, names))
+    place = F.pmod(fingerprint, F.lit(marks))
+    counts = df.select(fingerprint.alias("f")).groupBy("f").agg(F.count("*").alias("n"))
     words = (
         counts.where("n > 1")
+        .select(F.pmod("f", F.lit(marks)).alias("place"))
         .select(F.floor(F.col("place") / _WORD).alias("_word"), F.expr(f"shiftleft(1L, int(place % {_WORD}))").alias("bit"))
         .groupBy("_word")
         .agg(F.bit_or("bit").alias("_marks"))
     )
-    words = stage(words, "repeated-rows")
+    words = stage_spare(words, "repeated-rows")
     if words.isEmpty():
         return df
     own, at = (unused_name(df, n) for n in ("_own_word", "_own_bit"))

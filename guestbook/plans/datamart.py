@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -24,7 +23,7 @@ from guestbook.schemas import (
     PLACE,
     VISIT,
 )
-from guestbook.session import stage
+from guestbook.session import stage_spare
 from guestbook.sources import systems
 
 # What each system knows of a person; everything else is null. The fixed value here is which
@@ -67,12 +66,12 @@ class Conformed:
     def staged(self) -> Conformed:
         """Write each subject that feeds two or more tables once, and read it back.
 
-        Addresses feed the address book alone, which is staged itself.
+        One after the other, the widest first, so that the disk holds the shuffles of one. A person's repeated rows add
+        nothing to the tables made of them. Addresses feed the address book alone, which is staged itself.
         """
-        shared = {name: df for name, df in vars(self).items() if name != "addresses"}
-        with ThreadPoolExecutor(len(shared)) as pool:  # independent writes, so they may overlap
-            written = dict(zip(shared, pool.map(stage, shared.values(), shared.keys())))
-        return replace(self, **written)
+        shared = {**vars(self), "people": self.people.distinct()}
+        order = ["lines", "visits", "people", "engagement", "origins"]
+        return replace(self, **{name: stage_spare(shared[name], name) for name in order})
 
 
 def _address(df: DataFrame, columns: str) -> DataFrame:
@@ -87,7 +86,7 @@ def _addresses_of(df: DataFrame, *kinds: str) -> DataFrame:
 
 def conform_all(t: Mapping[str, DataFrame], staged: bool = True) -> Conformed:
     """All systems by subject. ``staged`` writes every view that joins tables and feeds several subjects once."""
-    keep = stage if staged else (lambda df, label: df)
+    keep = stage_spare if staged else (lambda df, label: df)
     axs, shop, mail = systems.axs(t), systems.shopify(t), systems.iterable_api(t)
     axs = {**axs, "lines": keep(axs["lines"], "axs-lines")}
     shop = {**shop, "lines": keep(shop["lines"], "shop-lines")}
@@ -199,12 +198,13 @@ def build(subjects: Conformed, staged: bool = True, sources: Dictionary | None =
     ``staged`` writes the tables that other tables read once. ``sources`` is the book of all loads' sources
     (``origins.source_book``), which this load extends; without it they are numbered for this load alone.
     """
-    keep = stage if staged else (lambda df, label: df)
+    keep = stage_spare if staged else (lambda df, label: df)
     book = keep(places.address_book([subjects.addresses]), "address_book")
     identified = persons.identify(subjects.people)
     visits = occasions.event_visits(subjects.visits)
     source_system = sources.extend(subjects.origins) if sources else origins.source_systems(subjects.origins)
-    orders = keep(sales.orders(subjects.lines, source_system, book), "orders")
+    order_places = keep(sales.order_places(book), "order_places")
+    orders = keep(sales.orders(subjects.lines, source_system, order_places), "orders")
     actions = keep(marketing.keyed_actions(subjects.engagement), "actions")
     return {
         "consumers": persons.consumers(identified),
@@ -214,7 +214,7 @@ def build(subjects: Conformed, staged: bool = True, sources: Dictionary | None =
         "consumer_events": occasions.consumer_events(visits),
         "source_system": source_system,
         "orders": orders,
-        "order_items": sales.order_items(subjects.lines, orders),
+        "order_items": sales.order_items(subjects.lines, orders, sales.surely_placed() if staged else None),
         "marketing_campaigns": marketing.campaigns(subjects.engagement),
         "consumer_marketing_actions": marketing.consumer_actions(actions),
         "marketing_lists": marketing.marketing_lists(subjects.engagement),

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from guestbook.functions.keys import natural_key
+from guestbook.functions.text import year_text
 from guestbook.operators.clean import drop_empty_rows
 from guestbook.operators.dedupe import distinct_rows, keep_one
 from guestbook.operators.joins import join_on, lookup
-from guestbook.plans.events import event_id
 from guestbook.plans.people import resolve
 from guestbook.schemas import ITEM_FIELDS, ORDER_ITEMS, ORDER_PLACE, ORDER_TOTALS, ORDERS
 from guestbook.session import stage_spare
@@ -83,15 +83,23 @@ def order_items(lines: DataFrame, placed: DataFrame, sure: Column | None = None)
     named = lines.where(F.col("source_order_id").isNotNull() | F.col("source_product_id").isNotNull())
     ids = placed.select(F.col("id").alias("order_id"))
     if sure is None:
-        items = _items(named).distinct().join(ids, "order_id", "left_semi")
+        items = _keyed(_items(named).distinct()).join(ids, "order_id", "left_semi")
     else:
-        others = _items(named.where(~sure)).join(ids, "order_id", "left_semi")
-        items = distinct_rows(_items(named.where(sure)).unionByName(stage_spare(others, "other-items")))
+        others = _items(named.where(~sure)).withColumn("order_id", order_id()).join(ids, "order_id", "left_semi").drop("order_id")
+        items = _keyed(distinct_rows(_items(named.where(sure)).unionByName(stage_spare(others, "other-items"))))
     columns = [c for c in ORDER_ITEMS if c != "id"]
     return items.select(*columns, natural_key(*columns).alias("id"))
 
 
 def _items(lines: DataFrame) -> DataFrame:
-    fields = [(F.col(c) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c) for c, kind in ITEM_FIELDS.items()]  # 0.0 for -0.0
-    items = lines.select(order_id().alias("order_id"), *fields, event_id("event_datetime").alias("event_id"))
+    """Items with the columns of their order's and event's key, which are narrower than the keys. 0.0 stands for -0.0."""
+    fields = [(F.col(c) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c) for c, kind in ITEM_FIELDS.items()]
+    event = F.col("event_name").isNotNull()
+    venue, year = F.when(event, F.col("venue_name")), F.when(event, year_text("event_datetime"))
+    items = lines.select(*ORDER_KEY, *fields, "event_name", venue.alias("venue_name"), year.alias("year"))
     return drop_empty_rows(items, [c for c in ITEM_FIELDS if c != "source_product_id"])
+
+
+def _keyed(items: DataFrame) -> DataFrame:
+    event = F.when(F.col("event_name").isNotNull(), natural_key("event_name", "venue_name", "year"))
+    return items.select(order_id().alias("order_id"), *ITEM_FIELDS, event.alias("event_id"))
